@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _BARE_KEY = re.compile(r"[A-Za-z_][A-Za-z0-9_]*")
@@ -14,6 +14,18 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
+def computed_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a column that is evaluated once per row however often it is read.
+
+    A projected column is copied into every filter and expression above it; the
+    output of a generator is not. Exploding an array of one element keeps rows
+    as they are and stays inside whole-stage codegen; conditions on other
+    columns still move below it.
+    """
+    kept = [c for c in df.columns if c != name]
+    return df.select(*kept, F.explode_outer(F.array(value)).alias(name))
+
+
 def parse(value: Column | str = "value") -> Column:
     """The payload as VARIANT; NULL when it is not JSON."""
     return F.try_parse_json(as_column(value).cast("string"))
@@ -25,9 +37,11 @@ def parse_object(value: Column | str = "value") -> Column:
     The root type of valid JSON follows from its first non-blank character, so
     payloads with another root are not even parsed.
     """
-    text = as_column(value).cast("string")
-    starts_object = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
-    return F.when(starts_object, F.try_parse_json(text))
+    return F.when(starts_object(value), parse(value))
+
+
+def starts_object(value: Column | str = "value") -> Column:
+    return F.ltrim(as_column(value).cast("string"), F.lit(" \t\r\n")).startswith("{")
 
 
 def json_path(path: str) -> str:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,23 +31,40 @@ def poll_batch(df: DataFrame, max_records: int = DEFAULT_POLL, width: int = SLOT
     return numbered.withColumn("poll_id", _quotient("_position", size)).drop("_position")
 
 
-def chunk(df: DataFrame, size: int = DEFAULT_CHUNK, width: int = SLOT_WIDTH) -> DataFrame:
+def chunk(df: DataFrame, size: int = DEFAULT_CHUNK, span: int | None = None,
+          width: int = SLOT_WIDTH, keys: Sequence[str] = PARTITION) -> DataFrame:
     """Cut each partition's records into delivery batches of `size`.
 
     Adds `chunk_no`, `seq` (0-based within the batch), `first_offset` and
     `batch_id` (`topic-partition-firstOffset`, the same after a replay).
+
+    Only a partition's last batch is short; this reads the input twice, to count
+    and to number. With `span` every `span` offsets are cut by themselves, which
+    needs one pass and one shuffle and leaves one short batch per span.
+    `keys` may add columns whose values must not share a batch.
     """
     size = size if size > 0 else DEFAULT_CHUNK
-    members = Window.partitionBy(*PARTITION, "chunk_no")
+    if span:
+        start = F.col("offset") - F.pmod(F.col("offset"), F.lit(span).cast("bigint"))
+        inside = Window.partitionBy(*keys, "_span").orderBy("offset")
+        numbered = df.withColumn("_span", start).withColumn(
+            "_position", F.row_number().over(inside) - 1)
+        # Chunk numbers of different spans must not meet: a span has at most
+        # `span` records, so its numbers start at its own first offset.
+        chunk_no = F.col("_span") + _quotient("_position", size)
+        members = Window.partitionBy(*keys, "_span", "chunk_no")
+    else:
+        numbered = number_rows(df, keys, ["offset"], "_position", width)
+        chunk_no = _quotient("_position", size)
+        members = Window.partitionBy(*keys, "chunk_no")
     return (
-        number_rows(df, PARTITION, ["offset"], "_position", width)
-        .withColumns({
-            "chunk_no": _quotient("_position", size),
+        numbered.withColumns({
+            "chunk_no": chunk_no.cast("bigint"),
             "seq": F.pmod(F.col("_position"), F.lit(size)).cast("int"),
         })
         .withColumn("first_offset", F.min("offset").over(members))
         .withColumn("batch_id", F.concat_ws("-", "topic", "partition", "first_offset"))
-        .drop("_position")
+        .select(*df.columns, "chunk_no", "seq", "first_offset", "batch_id")
     )
 
 

@@ -8,22 +8,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relay.functions import status
-from relay.functions.json_values import as_column, parse, parse_object
+from relay.functions.json_values import as_column, computed_once, parse, parse_object
 
 
 def decode_json(df: DataFrame, objects_only: bool = False) -> DataFrame:
-    """Add `message`, the payload as VARIANT. `value` stays as it is.
+    """Add `message`, the payload as VARIANT, parsed once. `value` stays as it is.
 
     With `objects_only` other roots become NULL, which every predicate drops.
     """
-    return df.withColumn("message", parse_object("value") if objects_only else parse("value"))
+    return computed_once(df, "message", parse_object("value") if objects_only else parse("value"))
 
 
-def apply_decoder(df: DataFrame, decoder: Callable[[DataFrame], DataFrame] | Callable[[Column], Column],
+def apply_decoder(df: DataFrame, decoder: Callable[[Column], Column],
                   output: str = "decoded") -> DataFrame:
     """Run a user decoder: a Column function of `value` (built-in expression or
     Arrow UDF) that yields NULL where it fails."""
-    return df.withColumn(output, decoder(F.col("value")))
+    return computed_once(df, output, decoder(F.col("value")))
 
 
 def split_decode_errors(df: DataFrame, decoded: Column | str = "decoded") -> tuple[DataFrame, DataFrame]:

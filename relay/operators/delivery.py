@@ -17,7 +17,7 @@ from concurrent.futures import ThreadPoolExecutor
 from typing import Any
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -143,15 +143,20 @@ def ordered_deliver(requests: DataFrame, transport: Transport) -> DataFrame:
 
 def retry(failures: DataFrame, transport: Transport, max_attempts: int = 3, initial: int = 100,
           maximum: int = 10_000, multiplier: float = 2.0, concurrency: int = 1,
-          tasks: int | None = None, sleep: Callable[[float], None] = time.sleep) -> DataFrame:
+          tasks: int | None = None, body: Column | None = None,
+          accepted: Callable[[int, str | None], bool] | None = None,
+          sleep: Callable[[float], None] = time.sleep) -> DataFrame:
     """Resend each failed message by itself until one attempt succeeds.
 
     Adds `attempts` (array of attempt, status_code, ok) and `delivered`; the
-    original error stays, `retried` becomes true. Rows are spread evenly first,
-    as the failures of one partition may be most of them.
+    original error stays, `retried` becomes true. `body` is the request body (the
+    raw value by default), `accepted` decides on a 2xx answer from its text.
+    Rows are spread evenly first, as the failures of one partition may be most
+    of them.
     """
     spread = failures.repartition(*([tasks] if tasks else []), *POSITION)
-    rows = spread.withColumn("body", F.col("value").cast("string"))
+    text = F.col("value").cast("string") if body is None else body
+    rows = spread.withColumns({"body": text, "size": F.lit(1)})
     fields = rows.schema.fields + [T.StructField("attempts", ATTEMPTS),
                                    T.StructField("delivered", T.BooleanType())]
     delays = [min(float(maximum), initial * multiplier ** n) / 1000 for n in range(max_attempts)]
@@ -160,8 +165,8 @@ def retry(failures: DataFrame, transport: Transport, max_attempts: int = 3, init
         attempts = []
         for number, delay in enumerate(delays, start=1):
             sleep(delay)
-            code, *_ = _send(transport, message)
-            ok = 200 <= code <= 299
+            code, answer, *_ = _send(transport, message)
+            ok = 200 <= code <= 299 and (accepted is None or accepted(code, answer))
             attempts.append({"attempt": number, "status_code": code, "ok": ok})
             if ok:
                 break
@@ -169,7 +174,7 @@ def retry(failures: DataFrame, transport: Transport, max_attempts: int = 3, init
 
     run = _in_task(transport, concurrency, resend, ["attempts", "delivered"])
     return (rows.mapInPandas(run, T.StructType(fields))
-            .drop("body").withColumn("retried", F.lit(True)))
+            .drop("body", "size").withColumn("retried", F.lit(True)))
 
 
 def expand_batch_failure(outcomes: DataFrame, members: DataFrame,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from relay.functions import status
 from relay.functions.json_values import (
+    computed_once,
     is_boolean,
     is_integer,
     is_object,
@@ -35,6 +37,22 @@ class ResponseFields:
     success: str = "success"
 
 
+@dataclass(frozen=True)
+class SingleResult:
+    """Whether the response to a batch of one reports success. Used inside
+    retries, where the next step depends on the answer."""
+
+    fields: ResponseFields = ResponseFields()
+
+    def __call__(self, code: int, body: str | None) -> bool:
+        try:
+            entries = json.loads(body or "")[self.fields.results]
+            mine = [e for e in entries or [] if str(e.get(self.fields.seq)).strip() == "0"]
+            return bool(mine) and mine[-1].get(self.fields.status) == self.fields.success
+        except (ValueError, TypeError, KeyError, AttributeError):
+            return False
+
+
 def _seq(entry: Column, name: str) -> Column:
     """Index given as an integer or a numeric string, NULL otherwise."""
     found = leaf(entry, key_path(name))
@@ -76,9 +94,9 @@ def parse_batch_response(responses: DataFrame, fields: ResponseFields = Response
     range are skipped, of repeated ones the last wins, and an index without an
     entry is a retryable failure. `results` is NULL on a parse error.
     """
-    found = leaf(parse_object(body), key_path(fields.results))
-    entries = F.when(F.is_variant_null(found), F.array().cast("array<variant>")).otherwise(
-        typed(found, "$", "array<variant>"))
+    found = computed_once(responses, "_found", leaf(parse_object(body), key_path(fields.results)))
+    entries = F.when(F.is_variant_null("_found"), F.array().cast("array<variant>")).otherwise(
+        typed("_found", "$", "array<variant>"))
     readable = F.forall("_entries", lambda e: F.is_variant_null(e) | is_object(e))
 
     missing = F.transform(
@@ -90,13 +108,10 @@ def parse_batch_response(responses: DataFrame, fields: ResponseFields = Response
     in_range = F.filter(given, lambda r: F.coalesce(
         (r["seq"] >= 0) & (r["seq"] < F.col(size)), F.lit(False)))
 
-    return (
-        responses.withColumn("_entries", entries)
-        .withColumn("parse_error", ~F.coalesce(readable, F.lit(False)))
-        .withColumn("results", F.when(~F.col("parse_error"),
-                                      _last_per_seq(F.concat(missing, in_range))))
-        .drop("_entries")
-    )
+    results = F.when(readable, _last_per_seq(F.concat(missing, in_range)))
+    return (computed_once(computed_once(found, "_entries", entries), "results", results)
+            .withColumn("parse_error", F.col("results").isNull())
+            .drop("_found", "_entries"))
 
 
 def explode_results(parsed: DataFrame) -> DataFrame:
@@ -108,7 +123,7 @@ def explode_results(parsed: DataFrame) -> DataFrame:
 
 def _explode(lists: DataFrame) -> DataFrame:
     """Explode `list` into `r`. The outer form keeps Catalyst from adding a
-    non-empty filter below, which would compute the list again."""
+    filter on empty lists below, which would compute the list again."""
     return (lists.select("request_id", F.explode_outer("list").alias("r"))
             .filter(F.col("r").isNotNull()))
 

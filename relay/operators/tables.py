@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relay.functions import status
-from relay.functions.json_values import key_path, leaf, parse_object, typed
+from relay.functions.json_values import computed_once, key_path, leaf, parse_object, typed
 from relay.operators.positions import SLOT_WIDTH, number_rows
 from relay.sources.envelope import POSITION
 
@@ -22,7 +22,7 @@ MAX_COLUMNS = 10_000
 
 def split_bad_json(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(messages with `message`, failures): payloads that are no JSON object."""
-    parsed = df.withColumn("message", parse_object("value"))
+    parsed = computed_once(df, "message", parse_object("value"))
     bad = parsed.filter(F.col("message").isNull()).drop("message").withColumns({
         "error_type": F.lit(status.DESERIALIZATION),
         "status_code": F.lit(0),

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relay.functions import status
+from relay.functions.json_values import computed_once
 from relay.functions.predicates import truthy
 from relay.operators.filtering import check_boolean
 
@@ -62,7 +63,7 @@ def validate(df: DataFrame, rules: Rules, message: str = "message",
             raise ValueError(f"invalid validation rules: {error}") from error
         log.warning("validation disabled: %s", error)
         return df.withColumns({"valid": F.lit(True), "reason": F.lit(None).cast("string")})
-    checked = df.withColumn("reason", failure_reason(pairs, message))
+    checked = computed_once(df, "reason", failure_reason(pairs, message))
     return checked.withColumn("valid", F.col("reason").isNull())
 
 

@@ -22,6 +22,7 @@ RUNTIME_SETTINGS = {
 }
 
 _shipped: dict[str, str] = {}
+_local_folders: dict[str, str] = {}
 
 
 def configure(spark: SparkSession) -> SparkSession:
@@ -49,9 +50,10 @@ def shared_dir(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can read")
-    folder = tempfile.mkdtemp(prefix="relay-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _local_folders:
+        _local_folders[application] = tempfile.mkdtemp(prefix="relay-")
+    return _local_folders[application]
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:
