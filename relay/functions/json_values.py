@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import re
 
 from pyspark.sql import Column, DataFrame
@@ -63,6 +64,14 @@ def key_path(name: str) -> str:
     return f"$['{name}']" if "'" not in name else f'$["{name}"]'
 
 
+def is_literal(text: str) -> bool:
+    """Whether a text can stand in JSON without quotes."""
+    try:
+        return not isinstance(json.loads(text), (str, list, dict))
+    except ValueError:
+        return False
+
+
 def leaf(message: Column | str, path: str) -> Column:
     """The value at a path as VARIANT: NULL when absent, JSON null when null."""
     message = as_column(message)
@@ -82,10 +91,6 @@ def is_boolean(value: Column) -> Column:
     return F.schema_of_variant(value) == "BOOLEAN"
 
 
-def is_integer(value: Column) -> Column:
-    return F.schema_of_variant(value) == "BIGINT"
-
-
 def is_number(value: Column) -> Column:
     """BIGINT, DECIMAL(p,s), DOUBLE and FLOAT, told by their first letters."""
     return F.schema_of_variant(value).substr(1, 3).isin("BIG", "DEC", "DOU", "FLO")

@@ -8,7 +8,7 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from relay.functions.json_values import as_column, leaf, typed
+from relay.functions.json_values import as_column, is_literal, leaf, typed
 
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_\- ]+")
 _SMALL_ESCAPE = re.compile(r"\\u00[0-9a-f]{2}")
@@ -58,7 +58,7 @@ def _any_depth(path: str, value: str | None, message: Column, raw: Column | str
     pattern = r"[{,]" + re.escape(_json_text(name)) + ":"
     if value is not None:
         forms = [re.escape(_json_text(value))]
-        if value != "null" and _is_literal(value):
+        if value != "null" and is_literal(value):
             forms.append(re.escape(value))
         pattern += "(?:" + "|".join(forms) + r")(?=[,}])"
     found = scope.rlike(pattern)
@@ -74,14 +74,6 @@ def _json_text(value: str) -> str:
     return _SMALL_ESCAPE.sub(lambda m: "\\u" + m.group()[2:].upper(), quoted)
 
 
-def _is_literal(value: str) -> bool:
-    """Whether the text can stand in JSON without quotes."""
-    try:
-        return not isinstance(json.loads(value), (str, list, dict))
-    except ValueError:
-        return False
-
-
 def split_filter_text(text: str) -> tuple[str, str | None]:
     """`$.path:value` split at the first colon, both sides trimmed."""
     path, colon, value = text.partition(":")

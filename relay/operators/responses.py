@@ -12,7 +12,7 @@ from relay.functions import status
 from relay.functions.json_values import (
     computed_once,
     is_boolean,
-    is_integer,
+    is_literal,
     is_object,
     is_string,
     key_path,
@@ -23,6 +23,7 @@ from relay.functions.json_values import (
 from relay.operators.delivery import as_failures
 
 NO_RESULT = "no result in response"
+UNREADABLE = "batch response cannot be parsed"
 
 
 @dataclass(frozen=True)
@@ -53,86 +54,95 @@ class SingleResult:
             return False
 
 
-def _seq(entry: Column, name: str) -> Column:
-    """Index given as an integer or a numeric string, NULL otherwise."""
-    found = leaf(entry, key_path(name))
-    return F.when(is_integer(found), typed(found, "$", "bigint")).when(
-        is_string(found), F.trim(typed(found, "$", "string")).try_cast("bigint"))
+def _seq(found: Column) -> Column:
+    """Index given as an integer or a numeric string, NULL otherwise. The pattern
+    keeps bad text from the cast, where every failure costs an exception."""
+    text = F.when(F.schema_of_variant(found).isin("BIGINT", "STRING"),
+                  F.trim(typed(found, "$", "string")))
+    return F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.cast("bigint"))
 
 
-def _text(entry: Column, name: str) -> Column:
-    found = leaf(entry, key_path(name))
-    return F.coalesce(F.when(is_string(found), typed(found, "$", "string")), F.lit(""))
-
-
-def _flag(entry: Column, name: str) -> Column:
-    found = leaf(entry, key_path(name))
-    return F.coalesce(F.when(is_boolean(found), typed(found, "$", "boolean")), F.lit(False))
-
+def _equals(found: Column, text: str) -> Column:
+    """Whether a value is this string. Only a text that is itself a JSON literal
+    can be mistaken for a value of another type, so only then look at the type."""
+    same = typed(found, "$", "string") == text
+    return F.coalesce(is_string(found) & same if is_literal(text) else same, F.lit(False))
 
-def _result(seq: Column, pos: Column, success: Column, error: Column, retryable: Column) -> Column:
-    return F.struct(seq.cast("bigint").alias("seq"), pos.cast("int").alias("pos"),
-                    success.alias("success"), error.alias("error"),
-                    retryable.alias("is_retryable"))
 
+def _text(found: Column) -> Column:
+    return F.coalesce(F.when(is_string(found), typed(found, "$", "string")), F.lit(""))
 
-def _last_per_seq(results: Column) -> Column:
-    """Of each index the entry that comes last, within the row: after sorting by
-    (seq, pos) an entry stays when the next one has another index."""
-    def pick(ordered: Column) -> Column:
-        return F.filter(ordered, lambda x, i: F.coalesce(
-            F.try_element_at(ordered, (i + 2).cast("int"))["seq"] != x["seq"], F.lit(True)))
-
-    return F.transform(F.array(F.array_sort(results)), pick)[0]
 
+def _flag(found: Column) -> Column:
+    return F.coalesce(F.when(is_boolean(found), typed(found, "$", "boolean")), F.lit(False))
 
-def parse_batch_response(responses: DataFrame, fields: ResponseFields = ResponseFields(),
-                         body: str = "response_body", size: str = "size") -> DataFrame:
-    """Add `parse_error` and `results`: one entry per index 0..size-1.
 
-    Row-local, no shuffle. Entries whose index is missing, unreadable or out of
-    range are skipped, of repeated ones the last wins, and an index without an
-    entry is a retryable failure. `results` is NULL on a parse error.
-    """
+def _entries(responses: DataFrame, fields: ResponseFields, body: str) -> DataFrame:
+    """Add `_entries`, the list of results: NULL when it cannot be read."""
+    seq = key_path(fields.seq)
     found = computed_once(responses, "_found", leaf(parse_object(body), key_path(fields.results)))
     entries = F.when(F.is_variant_null("_found"), F.array().cast("array<variant>")).otherwise(
         typed("_found", "$", "array<variant>"))
-    readable = F.forall("_entries", lambda e: F.is_variant_null(e) | is_object(e))
+    # An entry with an index is an object; look at the type of the others only.
+    bad = F.exists("_all", lambda e: F.when(
+        leaf(e, seq).isNull(), ~F.is_variant_null(e) & ~is_object(e)).otherwise(F.lit(False)))
+    every = computed_once(found, "_all", entries)
+    return computed_once(every, "_entries", F.when(~bad, F.col("_all"))).drop("_found", "_all")
 
-    missing = F.transform(
-        F.slice(F.sequence(F.lit(0), F.col(size)), F.lit(1), F.col(size)),
-        lambda i: _result(i, F.lit(-1), F.lit(False), F.lit(NO_RESULT), F.lit(True)))
-    given = F.transform("_entries", lambda e, i: _result(
-        _seq(e, fields.seq), i, _text(e, fields.status) == fields.success,
-        _text(e, fields.error), _flag(e, fields.retryable)))
-    in_range = F.filter(given, lambda r: F.coalesce(
-        (r["seq"] >= 0) & (r["seq"] < F.col(size)), F.lit(False)))
 
-    results = F.when(readable, _last_per_seq(F.concat(missing, in_range)))
-    return (computed_once(computed_once(found, "_entries", entries), "results", results)
-            .withColumn("parse_error", F.col("results").isNull())
-            .drop("_found", "_entries"))
+def _explode(listed: DataFrame, fields: ResponseFields, size: str, keep: list[str]) -> DataFrame:
+    """One row per (request_id, seq), the last entry of an index winning.
 
+    Numbers -size..-1 stand for the indexes themselves, 0.. for the entries, so
+    that an index without an entry keeps its row. Fields are read after the
+    explode, inside generated code. Grouping is by the key that members are
+    joined on next, so the join needs no shuffle of its own on this side.
+    """
+    numbers = F.sequence(-F.col(size), F.coalesce(F.array_size("_entries"), F.lit(0)) - 1)
+    numbers = F.when((F.col(size) > 0) | (F.array_size("_entries") > 0), numbers)
+    rows = listed.select("request_id", size, "_entries", *keep, F.explode_outer(numbers).alias("_at"))
+    rows = computed_once(rows, "_entry", F.when(F.col("_at") >= 0, F.get("_entries", F.col("_at"))))
+    given = F.col("_at") >= 0
+
+    def field(name: str) -> Column:
+        return leaf("_entry", key_path(name))
+
+    rows = rows.select(
+        "request_id", size, *keep, "_at",
+        F.when(given, _seq(field(fields.seq))).otherwise(F.col("_at") + F.col(size)).alias("seq"),
+        F.struct(
+            (given & _equals(field(fields.status), fields.success)).alias("success"),
+            F.when(given, _text(field(fields.error))).otherwise(NO_RESULT).alias("error"),
+            F.when(given, _flag(field(fields.retryable))).otherwise(F.lit(True)).alias("is_retryable"),
+        ).alias("_result"))
+    return (
+        rows.filter((F.col("seq") >= 0) & (F.col("seq") < F.col(size)))
+        .groupBy("request_id", F.col("seq").cast("int").alias("seq"))
+        .agg(F.max_by("_result", "_at").alias("_result"), *[F.first(c).alias(c) for c in keep])
+        .select("request_id", "seq", "_result.*", *keep)
+    )
 
-def explode_results(parsed: DataFrame) -> DataFrame:
-    """One row per (request_id, seq) of the parsed responses."""
-    return _explode(parsed.select("request_id", F.col("results").alias("list"))).select(
-        "request_id", "r.seq", "r.success", "r.error", "r.is_retryable").withColumn(
-        "seq", F.col("seq").cast("int"))
 
+def parse_batch_response(responses: DataFrame, fields: ResponseFields = ResponseFields(),
+                         body: str = "response_body", size: str = "size") -> DataFrame:
+    """One row per (request_id, seq) with success, error, is_retryable, parse_error.
 
-def _explode(lists: DataFrame) -> DataFrame:
-    """Explode `list` into `r`. The outer form keeps Catalyst from adding a
-    filter on empty lists below, which would compute the list again."""
-    return (lists.select("request_id", F.explode_outer("list").alias("r"))
-            .filter(F.col("r").isNotNull()))
+    Entries whose index is missing, unreadable or out of range are skipped, of
+    repeated ones the last wins, and an index without an entry is a retryable
+    failure. On a parse error all indexes of the request are retryable failures.
+    """
+    listed = _entries(responses, fields, body).withColumn("parse_error", F.col("_entries").isNull())
+    rows = _explode(listed, fields, size, ["parse_error"])
+    return rows.withColumn("error", F.when(F.col("parse_error"), UNREADABLE).otherwise(F.col("error")))
 
 
 def responses_to_failures(results: DataFrame, members: DataFrame) -> DataFrame:
-    """Members whose result is no success: 500 if retryable, else 422."""
+    """Members whose result is no success: 500 if retryable, 422 if not, 0 when
+    the response could not be read."""
     failed = results.filter(~F.col("success")).select(
         "request_id", "seq",
-        F.when(F.col("is_retryable"), 500).otherwise(422).alias("status_code"),
+        F.when(F.col("parse_error"), 0).when(F.col("is_retryable"), 500).otherwise(422)
+        .alias("status_code"),
         F.col("error").alias("error_message"))
     return as_failures(members.join(failed, ["request_id", "seq"]))
 
@@ -146,24 +156,20 @@ def response_failures(outcomes: DataFrame, members: DataFrame,
     Otherwise every message has its own result. Responses are read once and
     joined to the members once, on (request_id, seq).
     """
-    parsed = parse_batch_response(outcomes, fields)
     ok = status.is_success("status_code")
-    whole = (
-        F.when(~ok & (F.col("status_code") == 0), F.coalesce("error", F.lit("transport failure")))
-        .when(~ok, "batch endpoint returned non-2xx status")
-        .when(F.col("parse_error"), "batch response cannot be parsed")
-    )
-    everyone = F.transform(
-        F.slice(F.sequence(F.lit(0), F.col("size")), F.lit(1), F.col("size")),
-        lambda i: F.struct(i.cast("bigint").alias("seq"),
-                           F.when(ok, 0).otherwise(F.col("status_code")).alias("status_code"),
-                           whole.alias("error_message")))
-    single = F.transform(
-        F.filter("results", lambda r: ~r["success"]),
-        lambda r: F.struct(r["seq"].alias("seq"),
-                           F.when(r["is_retryable"], 500).otherwise(422).alias("status_code"),
-                           r["error"].alias("error_message")))
-    lists = parsed.select("request_id", F.when(whole.isNotNull(), everyone).otherwise(single).alias("list"))
-    failed = _explode(lists).select(
-        "request_id", F.col("r.seq").cast("int").alias("seq"), "r.status_code", "r.error_message")
+    # A failed request has no results to read: every index fails with `_whole`.
+    readable = outcomes.withColumns({
+        "_body": F.when(ok, F.col("response_body")),
+        "_status": F.when(~ok, F.col("status_code")),
+        "_whole": F.when(~ok & (F.col("status_code") == 0),
+                         F.coalesce("error", F.lit("transport failure")))
+        .when(~ok, "batch endpoint returned non-2xx status")})
+    listed = _entries(readable, fields, "_body").withColumn("parse_error", F.col("_entries").isNull())
+    rows = _explode(listed, fields, "size", ["_status", "_whole", "parse_error"])
+    failed = rows.filter(~F.col("success")).select(
+        "request_id", "seq",
+        F.coalesce("_status", F.when(F.col("parse_error"), 0).when(F.col("is_retryable"), 500)
+                   .otherwise(422)).alias("status_code"),
+        F.coalesce("_whole", F.when(F.col("parse_error"), UNREADABLE).otherwise(F.col("error")))
+        .alias("error_message"))
     return as_failures(members.join(failed, ["request_id", "seq"]))

@@ -29,12 +29,12 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     messages = topics.objects(topics.event_messages(spark, sf_dir))
     wanted = p.eq("status", "purchase") & p.gt("value", 100)
     members = batching.split_max(batching.chunk(
-        messages.filter(p.truthy(wanted)).drop("message"), 100))
+        messages.filter(p.truthy(wanted)).drop("message"), 100, delivery_queries.SPAN))
     kind = F.col("first_offset") % 4
     outcomes = batching.batch_body(members).withColumns({
         "status_code": F.when(kind == 0, 200).when(kind == 1, 503).when(kind == 2, 404).otherwise(0),
         "error": F.when(kind == 3, "refused")})
-    failures = delivery.expand_batch_failure(outcomes, members.drop("first_offset"))
+    failures = delivery.expand_batch_failure(outcomes, members)
     return (routing.with_action(failures).groupBy("partition", "action", "error_type")
             .agg(F.count("*").alias("messages")))
 

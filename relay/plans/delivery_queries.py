@@ -36,17 +36,28 @@ def passed_messages(spark, sf):
     return messages.filter(p.truthy(condition)).drop("message")
 
 
+SPAN = 65_536
+
+
 def members(spark, sf, size=10, max_size=0):
-    return batching.split_max(batching.chunk(passed_messages(spark, sf), size), max_size)
+    return batching.split_max(batching.chunk(passed_messages(spark, sf), size, SPAN), max_size)
 
 
-@query("chunk", sql([chunks()], f"""
+# One span covers all offsets: only the last batch of a partition is short.
+@query("chunk", sql([chunks(span=1_000_000_000)], f"""
 SELECT {POS_SQL}, chunk_no, seq, first_offset, batch_id FROM members"""))
 def chunk(spark, sf):
     return batching.chunk(passed_messages(spark, sf), 10).select(
         *POS, "chunk_no", "seq", "first_offset", "batch_id")
 
 
+@query("chunk_by_span", sql([chunks(span=700)], f"""
+SELECT {POS_SQL}, chunk_no, seq, first_offset, batch_id FROM members"""))
+def chunk_by_span(spark, sf):
+    return batching.chunk(passed_messages(spark, sf), 10, span=700).select(
+        *POS, "chunk_no", "seq", "first_offset", "batch_id")
+
+
 BODY_SQL = """
 SELECT topic, "partition", batch_id, min("offset") AS first_offset,
        CAST(count(*) AS INTEGER) AS size,
@@ -150,16 +161,12 @@ def expand_batch_failure(spark, sf):
 # --- responses ------------------------------------------------------------------------
 
 @query("parse_batch_response", sql([RESPONSES], """
-SELECT request_id, seq, success, error, is_retryable FROM results"""))
+SELECT request_id, seq, success, error, is_retryable, FALSE AS parse_error FROM results
+UNION ALL
+SELECT request_id, CAST(s AS INTEGER), FALSE, 'batch response cannot be parsed', TRUE, TRUE
+FROM responses, range(0, 7) AS t(s) WHERE kind >= 8"""))
 def parse_batch_response(spark, sf):
-    return responses.explode_results(responses.parse_batch_response(topics.batch_responses(spark, sf)))
-
-
-@query("parse_batch_response_errors", sql([RESPONSES], """
-SELECT request_id, kind >= 8 AS parse_error FROM responses"""))
-def parse_batch_response_errors(spark, sf):
-    return responses.parse_batch_response(topics.batch_responses(spark, sf)).select(
-        "request_id", "parse_error")
+    return responses.parse_batch_response(topics.batch_responses(spark, sf))
 
 
 def response_members(spark, sf):
@@ -170,13 +177,16 @@ def response_members(spark, sf):
 
 
 @query("responses_to_failures", sql([RESPONSES], """
+SELECT request_id, CAST(s AS INTEGER) AS seq, CAST(0 AS INTEGER) AS status_code,
+       'batch response cannot be parsed' AS error_message, 'SINK_UNKNOWN_ERROR' AS error_type
+FROM responses, range(0, 7) AS t(s) WHERE kind >= 8
+UNION ALL
 SELECT request_id, seq, CAST(CASE WHEN is_retryable THEN 500 ELSE 422 END AS INTEGER) AS status_code,
        error AS error_message,
        CASE WHEN is_retryable THEN 'SINK_5XX_ERROR' ELSE 'SINK_4XX_ERROR' END AS error_type
 FROM results WHERE NOT success"""))
 def responses_to_failures(spark, sf):
-    results = responses.explode_results(
-        responses.parse_batch_response(topics.batch_responses(spark, sf)))
+    results = responses.parse_batch_response(topics.batch_responses(spark, sf))
     return responses.responses_to_failures(results, response_members(spark, sf)).select(
         "request_id", "seq", "status_code", "error_message", "error_type")
 

@@ -129,17 +129,20 @@ results AS (
 PASSED = "json_type(o, '$.status') = 'VARCHAR' AND CAST(o->>'$.value' AS DOUBLE) > 5"
 
 
-def chunks(size: int = 10, passed: str = PASSED) -> str:
+def chunks(size: int = 10, passed: str = PASSED, span: int = 65_536) -> str:
+    """Members of batches of `size`, every `span` offsets cut by themselves."""
+    group = f'topic, "partition", "offset" // {span}'
     return f"""{EVENTS}, {PARSED},
 numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY topic, "partition" ORDER BY "offset") - 1 AS rn
+  SELECT *, row_number() OVER (PARTITION BY {group} ORDER BY "offset") - 1 AS rn
   FROM objects WHERE {passed}),
 members AS (
-  SELECT topic, "partition", "offset", key, value, o, CAST(rn // {size} AS BIGINT) AS chunk_no,
+  SELECT topic, "partition", "offset", key, value, o,
+         CAST("offset" // {span} * {span} + rn // {size} AS BIGINT) AS chunk_no,
          CAST(rn % {size} AS INTEGER) AS seq,
-         min("offset") OVER (PARTITION BY topic, "partition", rn // {size}) AS first_offset,
-         concat(topic, '-', "partition", '-',
-                min("offset") OVER (PARTITION BY topic, "partition", rn // {size})) AS batch_id
+         min("offset") OVER (PARTITION BY {group}, rn // {size}) AS first_offset,
+         concat(topic, '-', "partition", '-', min("offset") OVER (PARTITION BY {group}, rn // {size}))
+           AS batch_id
   FROM numbered)"""
 
 
