@@ -15,6 +15,7 @@ from relay.operators.positions import (
     rolling,
     running_sum,
 )
+from relay.session import stage
 
 WINDOW = 100
 THRESHOLD = 80
@@ -83,10 +84,11 @@ def breaker_with_reset(outcomes: DataFrame, reset_s: float, n: int = WINDOW,
     is closed and full, whatever came before. The outcomes between two such
     stretches form an episode that needs no other rows; only their rows that can
     open or clear the breaker go to Python, one group per (sink, episode), as a
-    stream of Arrow batches.
+    stream of Arrow batches. The rolling counts are staged, as they are read twice.
     """
     hot = "_hot"
-    states = breaker_state(outcomes, n, threshold, order, width).withColumnRenamed("is_open", hot)
+    states = stage(breaker_state(outcomes, n, threshold, order, width), "breaker")
+    states = states.withColumnRenamed("is_open", hot)
     marked = rolling(states, ["sink"], "position", n, {
         "_hot_before": lambda w: F.coalesce(
             F.max(F.col(hot).cast("int")).over(w.rowsBetween(-n, -1)), F.lit(0)),

@@ -3,7 +3,8 @@
 A transport is a picklable callable `request -> (status, body)`. `request` is a
 dict with the request's columns. If it has `open()` that is called once per
 task before the first request, `close()` after the last one. An exception, or
-status 0, is a transport failure.
+status 0, is a transport failure. With a concurrency over 1 it is called from
+several threads of a task.
 
 Delivery has side effects: stage its result (`relay.session.stage`) before
 reading it more than once.

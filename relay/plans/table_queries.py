@@ -52,16 +52,18 @@ def json_to_typed_columns(spark, sf):
 
 
 INSERT_SQL = sql([KEYED], f"""
-SELECT {POS_SQL}, customer, CASE WHEN rn = 1 AND customer % 10 <> 0 THEN 'inserted' ELSE 'duplicate' END
-  AS half, CAST(CASE WHEN rn = 1 AND customer % 10 <> 0 THEN NULL ELSE 409 END AS INTEGER) AS status_code
-FROM (SELECT *, row_number() OVER (PARTITION BY customer ORDER BY "partition", "offset") AS rn
-      FROM (SELECT *, CAST(CAST(value AS JSON)->>'$.customer' AS BIGINT) AS customer FROM messages))""")
+SELECT {POS_SQL}, customer, CASE WHEN won THEN 'inserted' ELSE 'duplicate' END AS half,
+       CAST(CASE WHEN NOT won THEN 409 END AS INTEGER) AS status_code
+FROM (
+  SELECT *, row_number() OVER (PARTITION BY customer ORDER BY "partition", "offset") = 1
+         AND customer NOT IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'BUILDING') AS won
+  FROM (SELECT *, CAST(CAST(value AS JSON)->>'$.customer' AS BIGINT) AS customer FROM messages))""")
 
 
 @query("keyed_insert", INSERT_SQL)
 def keyed_insert(spark, sf):
     rows = tables.json_to_columns(_keyed(spark, sf), TYPES)
-    stored = topics.table(spark, sf, "customer").filter("c_custkey % 10 = 0").select(
+    stored = topics.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
         F.col("c_custkey").alias("customer"))
     inserted, duplicates = tables.keyed_insert(rows, ["customer"], stored)
     return inserted.select(*POS, "customer", F.lit("inserted").alias("half"),

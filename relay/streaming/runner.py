@@ -35,6 +35,7 @@ from relay.streaming.stores import Stores
 log = logging.getLogger(__name__)
 
 PLACE = ("chunk_no", "seq", "first_offset", "batch_id", "request_no", "request_id")
+WORKING = ("classified", "outcomes", "failures", "retries", "deferred", "breaker")
 
 
 @dataclass(frozen=True)
@@ -43,6 +44,10 @@ class RelayOptions:
 
     `filter` and `rules` are texts, or functions without arguments that build
     the columns once a session exists. `decoder` adds `decoded` to envelopes.
+    Up to `concurrency` requests at a time are sent by each of `tasks` tasks (by
+    default the cluster's parallelism); `ordered` sends one at a time. With
+    `keep_batches` the working tables of older micro-batches are removed; the
+    ledger, the dead letters and the commits stay.
     """
 
     sink: str = "http"
@@ -57,8 +62,9 @@ class RelayOptions:
     seq_field: str = batching.SEQ_FIELD
     response: responses.ResponseFields = field(default_factory=responses.ResponseFields)
     ordered: bool = False
-    concurrency: int = 1
+    concurrency: int = 16
     tasks: int | None = None
+    keep_batches: int | None = None
     ranges: routing.RouteRanges = field(default_factory=routing.RouteRanges)
     max_attempts: int = 3
     backoff_initial_ms: int = 100
@@ -79,6 +85,8 @@ class RelayOptions:
             raise ValueError(f"on_open is wait or defer, not {self.on_open!r}")
         if self.chunk_size <= 0 or self.concurrency <= 0:
             raise ValueError("chunk_size and concurrency must be positive")
+        if self.keep_batches is not None and self.keep_batches < 2:
+            raise ValueError("keep at least two micro-batches: a replay reads them")
         if not 0 < self.breaker_threshold <= 100 or self.breaker_window <= 0:
             raise ValueError("breaker threshold is a percentage, its window positive")
 
@@ -160,6 +168,13 @@ class Relay:
         stores.write("commits", batch, ledger.committable_offsets(entries))
         if options.breaker_enabled:
             self._update_breaker(outcomes, failures, retries, batch)
+        if options.keep_batches:
+            for table in WORKING:
+                stores.drop(table, batch - options.keep_batches)
+
+    @property
+    def _tasks(self) -> int:
+        return self.options.tasks or self.stores.spark.sparkContext.defaultParallelism
 
     def _placed(self, records: DataFrame) -> DataFrame:
         """Records with their place in a batch; only sent ones get one. All are
@@ -172,7 +187,9 @@ class Relay:
         if options.mode == "individual":
             cut = cut.withColumn("request_id", F.concat_ws("-", *POSITION))
         sent = F.col("stage") == SENT
-        return cut.withColumns({name: F.when(sent, F.col(name)) for name in PLACE})
+        # Dropped records are counted, never sent: their payload is not stored.
+        stored = {name: F.when(F.col("stage") != DROPPED, F.col(name)) for name in ("key", "value")}
+        return cut.withColumns({**stored, **{name: F.when(sent, F.col(name)) for name in PLACE}})
 
     def _deliver(self, members: DataFrame) -> DataFrame:
         options = self.options
@@ -180,7 +197,7 @@ class Relay:
             "sink", F.lit(options.sink))
         if options.ordered:
             return delivery.ordered_deliver(requests, self.transport)
-        return delivery.deliver(requests, self.transport, options.concurrency, options.tasks)
+        return delivery.deliver(requests, self.transport, options.concurrency, self._tasks)
 
     def _failures(self, outcomes: DataFrame, members: DataFrame) -> DataFrame:
         keep = [*[f.name for f in ENVELOPE], "batch_id", "first_offset", "status_code", "error_message",
@@ -203,7 +220,7 @@ class Relay:
         return delivery.retry(
             failures.filter(F.col("action") == status.RETRY), self.transport, options.max_attempts,
             options.backoff_initial_ms, options.backoff_max_ms, options.backoff_multiplier,
-            options.concurrency, options.tasks, self._single_body(),
+            1 if options.ordered else options.concurrency, self._tasks, self._single_body(),
             responses.SingleResult(options.response) if options.mode == "with_response" else None)
 
     def _single_body(self) -> Column:

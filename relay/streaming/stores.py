@@ -18,13 +18,20 @@ class Stores:
     def path(self, table: str, batch: int) -> str:
         return f"{self.base}/{table}/micro_batch={batch}"
 
-    def _exists(self, path: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        file = jvm.org.apache.hadoop.fs.Path(path)
-        return file.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(file)
+    def _file(self, path: str):
+        """A path and its file system, wherever the base folder is."""
+        context = self.spark.sparkContext
+        file = context._jvm.org.apache.hadoop.fs.Path(path)
+        return file, file.getFileSystem(context._jsc.hadoopConfiguration())
 
     def complete(self, table: str, batch: int) -> bool:
-        return self._exists(f"{self.path(table, batch)}/_SUCCESS")
+        file, system = self._file(f"{self.path(table, batch)}/_SUCCESS")
+        return system.exists(file)
+
+    def drop(self, table: str, batch: int) -> None:
+        """Remove a micro-batch of a table that nothing reads any more."""
+        file, system = self._file(self.path(table, batch))
+        system.delete(file, True)
 
     def write(self, table: str, batch: int, df: DataFrame) -> DataFrame:
         """Replace a micro-batch of a table and read it back."""
