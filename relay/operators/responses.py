@@ -107,9 +107,10 @@ def _explode(listed: DataFrame, fields: ResponseFields, size: str, keep: list[st
     def field(name: str) -> Column:
         return leaf("_entry", key_path(name))
 
+    index = F.when(given, _seq(field(fields.seq))).otherwise(F.col("_at") + F.col(size))
+    rows = computed_once(rows, "seq", index.cast("bigint"))
     rows = rows.select(
-        "request_id", size, *keep, "_at",
-        F.when(given, _seq(field(fields.seq))).otherwise(F.col("_at") + F.col(size)).alias("seq"),
+        "request_id", size, *keep, "_at", "seq",
         F.struct(
             (given & _equals(field(fields.status), fields.success)).alias("success"),
             F.when(given, _text(field(fields.error))).otherwise(NO_RESULT).alias("error"),

@@ -9,7 +9,8 @@ from relay.functions import predicates as p
 from relay.operators import batching, delivery, routing
 from relay.plans import delivery_queries, filter_queries, table_queries, topics  # noqa: F401
 from relay.plans.registry import CHECKS, QUERIES, Query, query
-from relay.plans.topics_sql import DEAD, EVENTS, PARSED, RETRYABLE, chunks, sql
+from relay.plans.topics_sql import DEAD, RETRYABLE, chunks, sql
+from relay.session import stage
 
 PURCHASE = "o->>'$.status' = 'purchase' AND CAST(o->>'$.value' AS DOUBLE) > 100"
 
@@ -28,8 +29,9 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Decode, filter, batch, build bodies, take the sink's answer, fail, route, count."""
     messages = topics.objects(topics.event_messages(spark, sf_dir))
     wanted = p.eq("status", "purchase") & p.gt("value", 100)
-    members = batching.split_max(batching.chunk(
-        messages.filter(p.truthy(wanted)).drop("message"), 100, delivery_queries.SPAN))
+    # Read twice, for the bodies and for the failures: decoded and cut only once.
+    members = stage(batching.split_max(batching.chunk(
+        messages.filter(p.truthy(wanted)).drop("message"), 100, delivery_queries.SPAN)), "members")
     kind = F.col("first_offset") % 4
     outcomes = batching.batch_body(members).withColumns({
         "status_code": F.when(kind == 0, 200).when(kind == 1, 503).when(kind == 2, 404).otherwise(0),
