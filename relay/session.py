@@ -9,27 +9,18 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Runtime settings the operators rely on.
-RUNTIME_SETTINGS = {
-    # A JSON object with a repeated key keeps the last value.
-    "spark.sql.variant.allowDuplicateKeys": "true",
-    # Runtime re-planning: small sides become broadcasts once their size is
-    # known, skewed shuffle partitions are split.
-    "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.skewJoin.enabled": "true",
-    # Request bodies can be large; bound Arrow batches by bytes, not rows only.
-    "spark.sql.execution.arrow.maxBytesPerBatch": str(64 * 1024 * 1024),
-}
+# The one setting the results depend on: a JSON object with a repeated key keeps
+# the last value. Adaptive execution (on by default) is recommended, and for very
+# large request bodies a lower spark.sql.execution.arrow.maxBytesPerBatch; both are
+# left to the owner of the session.
+RUNTIME_SETTINGS = {"spark.sql.variant.allowDuplicateKeys": "true"}
 
 _shipped: dict[str, str] = {}
 _local_folders: dict[str, str] = {}
 
 
-def configure(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to a session, ship this package to its Python
-    workers and return the session."""
-    for name, value in RUNTIME_SETTINGS.items():
-        spark.conf.set(name, value)
+def ship(spark: SparkSession) -> SparkSession:
+    """Send this package to the Python workers of a session, once per application."""
     context = spark.sparkContext
     if _shipped.get("app") != context.applicationId:
         package = pathlib.Path(__file__).resolve().parent
@@ -39,6 +30,13 @@ def configure(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def configure(spark: SparkSession) -> SparkSession:
+    """Apply the setting above to a session, ship this package and return the session."""
+    for name, value in RUNTIME_SETTINGS.items():
+        spark.conf.set(name, value)
+    return ship(spark)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The shared folder named by the cluster in `spark.checkpoint.dir`.
 
