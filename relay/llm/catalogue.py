@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import packing, sharding
+from relay.llm import near_copies, packing, sharding
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,13 +28,18 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offset").cast("long").alias("offset"))
 
 
+def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every document."""
+    return near_copies.groups(table(spark, sf_dir, "documents"))
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards, and its shard among 17."""
     return sharding.manifest(table(spark, sf_dir, "documents"), 16)
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_packing": op5_packing, "op9_sharding": op9_sharding}
+    return {"op5_packing": op5_packing, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
 
 
 def checks() -> dict[str, str]:
