@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import near_copies, packing, sharding
+from relay.llm import near_copies, packing, quality, sharding
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,14 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The quality of every document."""
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out(1, 3))
+    return quality.score(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", quality.held_out(1, 3).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 4096 ids."""
     pieces = packing.cut(table(spark, sf_dir, "documents"), word_bpe())
@@ -39,7 +47,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op5_packing": op5_packing, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
+    return {"op2_quality": op2_quality, "op5_packing": op5_packing, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
 
 
 def checks() -> dict[str, str]:
