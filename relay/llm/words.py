@@ -7,6 +7,7 @@ distinct words are found in Arrow, so Python touches each distinct word once.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,6 +15,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
 
+AROUND = ".,;:!?\"'()[]{}<>*#$%&|-_«»“”„’‘…"
 TEXT_BYTES_AT_ONCE = 4 << 20
 
 
@@ -30,11 +32,14 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = TEXT_BYTES_A
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
-    """All words of a batch of texts in a row, dictionary-encoded, and where each text
-    begins (one more entry than texts). Null texts have no words."""
+    """All words of a batch of texts in a row as they stand, dictionary-encoded, and where
+    each text begins (one more entry than texts). Null texts have no words."""
     texts = pc.fill_null(texts.cast(pa.large_string()), "")
-    # Leading or trailing blanks give empty words, which are left out.
-    parts = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+    # Byte patterns only: the ASCII kernels of Arrow also act on parts of other letters.
+    for blank in "\t\n\v\f\r":
+        texts = pc.replace_substring(texts, blank, " ")
+    # Runs of blanks give empty words, which are left out.
+    parts = pc.split_pattern(texts, " ")
     borders = np.asarray(parts.offsets)
     values = parts.values.slice(borders[0], borders[-1] - borders[0])
     real = np.asarray(pc.greater(pc.binary_length(values), 0)).astype(bool)
@@ -42,11 +47,19 @@ def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
     return values.filter(pa.array(real)).dictionary_encode(), before[borders - borders[0]]
 
 
-def hashes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of all words of a batch, and where each text begins."""
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+
+
+def hashes(texts: pa.Array, bare: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of all words of a batch, and where each text begins. `bare` words
+    are lower-cased in full and have no punctuation around them, if they hold more."""
     words, begins = split(texts)
-    own = np.fromiter((xxhash.xxh64_intdigest(w) for w in words.dictionary.to_pylist()),
-                      dtype=np.uint64, count=len(words.dictionary))
+    distinct = words.dictionary.to_pylist()
+    if bare:
+        distinct = [w.lower().strip(AROUND) or w for w in distinct]
+    else:
+        distinct = [w if w.islower() else w.translate(LOWER) for w in distinct]
+    own = np.fromiter(map(xxhash.xxh64_intdigest, distinct), dtype=np.uint64, count=len(distinct))
     return own[np.asarray(words.indices)], begins
 
 
