@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import near_copies, packing, quality, sharding
+from relay.llm import decontamination, licenses, near_copies, packing, quality, sharding
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -28,6 +28,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items found in documents."""
+    return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in sequences of 4096 ids."""
     pieces = packing.cut(table(spark, sf_dir, "documents"), word_bpe())
@@ -36,6 +41,11 @@ def op5_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("offset").cast("long").alias("offset"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License statements found in documents."""
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
 def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The group of near copies of every document."""
     return near_copies.groups(table(spark, sf_dir, "documents"))
@@ -47,7 +57,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_quality": op2_quality, "op5_packing": op5_packing, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
+    return {"op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
+            "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
 
 
 def checks() -> dict[str, str]:
