@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, near_copies, packing, quality, sharding
+from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -51,6 +51,11 @@ def op7_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_copies.groups(table(spark, sf_dir, "documents"))
 
 
+def op8_permutation_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest vectors of every twentieth vector."""
+    return permutation_index.search(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0, 20)
+
+
 def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document in one of 16 shards, and its shard among 17."""
     return sharding.manifest(table(spark, sf_dir, "documents"), 16)
@@ -58,7 +63,8 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {"op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
-            "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, "op9_sharding": op9_sharding}
+            "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
+            "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding}
 
 
 def checks() -> dict[str, str]:
