@@ -26,14 +26,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from relay.llm import word_tokens
+from relay.llm import word_tokens, words
 from relay.llm.common import number_within
 from relay.session import ship, stage
 
 CAPACITY = 4096
 END_ID = 2
 TOLERANCE = 0.02
-TEXTS_AT_ONCE = 2 << 20
+TEXTS_AT_ONCE = 8 << 20
 PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, kind int"
 
 
@@ -53,30 +53,17 @@ def lengths(n: int, capacity: int = CAPACITY, tolerance: float = TOLERANCE) -> l
     return out
 
 
-def slices(batch: pa.RecordBatch, size: int = TEXTS_AT_ONCE) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch with about `size` bytes of text, or one longer text."""
-    texts = batch.column("text")
-    begin, held = 0, 0
-    for i, n in enumerate(pa.compute.binary_length(texts).to_pylist()):
-        held += n or 0
-        if held >= size:
-            yield batch.slice(begin, i + 1 - begin)
-            begin, held = i + 1, 0
-    if begin < batch.num_rows:
-        yield batch.slice(begin)
-
-
 def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: bool = False) -> DataFrame:
     """Tokenize whole texts and cut them: one row per piece, with its class `kind` and
     the CRC-32 of its ids (little-endian, 32 bits each); with keep_ids also `ids`."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = word_tokens.load(tokenizer)
+        known = word_tokens.load(tokenizer)
         end = np.array([END_ID], dtype="<u4")
         for batch in batches:
-            for part in slices(batch):
-                ids, begins = words.encode(part.column("text"))
+            for part in words.slices(batch, size=TEXTS_AT_ONCE):
+                ids, begins = known.encode(part.column("text"))
                 ids = ids.astype("<u4")
                 rows: list[tuple] = []
                 kept: list[np.ndarray] = []
