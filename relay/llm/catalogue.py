@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding
+from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding, toxicity
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +20,14 @@ def word_bpe() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The toxicity of every document."""
+    labels = table(spark, sf_dir, "labels").filter(~quality.held_out(0, 5))
+    return toxicity.score(table(spark, sf_dir, "documents"), labels).select(
+        "doc_id", quality.held_out(0, 5).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"), "hits")
+
+
 def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The quality of every document."""
     labels = table(spark, sf_dir, "labels").filter(~quality.held_out(1, 3))
@@ -62,7 +70,7 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
+    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
             "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
             "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding}
 
