@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding, toxicity
+from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding, toxicity, wrappers
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -69,10 +69,15 @@ def op9_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.manifest(table(spark, sf_dir, "documents"), 16)
 
 
+def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return wrappers.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
             "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
-            "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding}
+            "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding, "op10_wrappers": op10_wrappers}
 
 
 def checks() -> dict[str, str]:
