@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, near_copies, packing, permutation_index, quality, sharding, toxicity, wrappers
+from relay.llm import decontamination, licenses, lines, near_copies, packing, permutation_index, quality, sharding, toxicity, wrappers
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -36,6 +36,11 @@ def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.5).cast("int").alias("predicted"))
 
 
+def op3_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the lines that repeat or nearly repeat earlier ones removed."""
+    return lines.deduplicate(table(spark, sf_dir, "documents")).select("doc_id", "n_lines", "n_removed", "text")
+
+
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Benchmark items found in documents."""
     return decontamination.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
@@ -75,7 +80,7 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op4_decontamination": op4_decontamination,
+    return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_lines": op3_lines, "op4_decontamination": op4_decontamination,
             "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
             "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding, "op10_wrappers": op10_wrappers}
 

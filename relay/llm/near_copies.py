@@ -7,12 +7,12 @@ probability (1 - (1 - s^3)^24) * (1 - (1 - s^2)^15): above 0.999993 at 0.75.
 
 1. Equal sets are one node: copies are counted, not compared.
 2. Half keys A that two nodes share are found first; only those are combined with B.
-3. In each table every node is paired with the smallest node there, and of its pairs
-   the one met in most tables is compared on full sets. That links groups of copies
-   in linear work.
-4. Only where a table still holds nodes of different components, all of its pairs
-   across components are compared. So no link is lost between nodes that meet, and no
-   pair inside a component is made.
+3. In turns, each table has a centre, every node of another component is paired with
+   the centre it meets most often, and these pairs are compared on full sets. Each turn
+   is linear in the nodes and links most of a group of copies, until few pairs do.
+4. Where tables still hold nodes of different components, all pairs across components
+   that meet are compared, each once. So no link is lost between nodes that meet, and
+   no pair inside a component is made.
 
 Documents with null or empty texts, or a null doc_id, are linked with nothing. Rows
 that repeat a doc_id count as one document with several texts. Other columns than
@@ -25,18 +25,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relay.llm import words
 from relay.llm.components import components
+from relay.llm.sieve import sieve
 from relay.session import ship, stage
 
 SHINGLE = 5
 PERCENT = 75
 A_KEYS, A_WIDTH = 24, 3
 B_KEYS, B_WIDTH = 15, 2
-SIEVE_WORDS = 1 << 16
+# More turns save pairs of the last step and do not change the result.
+TURNS = 8
+YIELD = 0.05
 _CHUNK = 1 << 14
 
 
@@ -98,24 +101,6 @@ def sketch(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
 
 
-def sieve(ids: DataFrame) -> Column:
-    """A condition on doc_id that every id of a table meets and most others do not.
-
-    A bit map of fixed size, filled by an aggregate with at most SIEVE_WORDS rows. It
-    keeps unneeded texts out of a shuffle; when it is full it lets everything pass.
-    """
-    h = F.xxhash64("doc_id")
-    filled = (ids.select(F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)).cast("int").alias("at"),
-                         F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(h, F.lit(64)).cast("int")).alias("bit"))
-              .groupBy("at").agg(F.bit_or("bit").alias("bits")).collect())
-    bits = [0] * SIEVE_WORDS
-    for row in filled:
-        bits[row["at"]] = row["bits"]
-    table = F.from_json(F.lit("[" + ",".join(map(str, bits)) + "]"), "array<bigint>")
-    word = F.get(table, F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)).cast("int"))
-    return F.getbit(word, F.pmod(h, F.lit(64)).cast("int")) == 1
-
-
 def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those pairs (u, v) whose full shingle sets are similar enough."""
     ship(docs.sparkSession)
@@ -149,6 +134,28 @@ def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     return joined.select("u", "v", "text_u", "text_v").mapInArrow(run, "u long, v long").distinct()
 
 
+def mixed(tables: DataFrame, label: DataFrame | None) -> DataFrame:
+    """The rows of those tables that hold nodes of several components."""
+    if label is None:
+        placed = tables.withColumn("component", F.col("doc_id"))
+    else:
+        placed = (tables.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
+                  .withColumn("component", F.coalesce("component", "doc_id")))
+    several = (placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"))
+               .filter("p < q").select("key"))
+    return placed.join(several, "key")
+
+
+def stars(placed: DataFrame, turn: int) -> DataFrame:
+    """For every node the centre it meets most often: in each table one node, smallest in
+    an order that changes with the turn, is the centre of all that are not yet its own."""
+    centre = placed.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("doc_id", F.lit(turn)).alias("o"), "doc_id", "component")).alias("c"))
+    met = (placed.join(centre, "key").filter("component <> c.component")
+           .groupBy(F.col("doc_id").alias("u"), F.col("c.doc_id").alias("v")).agg(F.count("*").alias("met")))
+    return met.groupBy("u").agg(F.max_by("v", F.struct("met", "v")).alias("v"))
+
+
 def groups(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every document."""
     docs = docs.select("doc_id", "text")
@@ -169,26 +176,30 @@ def groups(docs: DataFrame) -> DataFrame:
                    .select("doc_id", "half", F.explode("b").alias("other"))
                    .select("doc_id", F.xxhash64("half", "other").alias("key")), "tables")
 
-    centre = tables.groupBy("key").agg(F.min("doc_id").alias("v"), F.max("doc_id").alias("w")).filter("v < w")
-    stars = (tables.join(centre.select("key", "v"), "key").filter("doc_id > v")
-             .groupBy(F.col("doc_id").alias("u"), "v").agg(F.count("*").alias("met")))
-    best = stars.groupBy("u").agg(F.max_by("v", F.struct("met", -F.col("v"))).alias("v"))
-    links = stage(confirm(docs, stage(best, "stars")), "links")
-
-    label = components(links)
-    placed = (tables.join(label.withColumnRenamed("node", "doc_id"), "doc_id", "left")
-              .select("key", "doc_id", F.coalesce("component", "doc_id").alias("component")))
-    placed = stage(placed.join(placed.groupBy("key").agg(F.min("component").alias("p"), F.max("component").alias("q"))
-                               .filter("p < q").select("key"), "key"), "mixed")
-    placed = placed.join(nodes.groupBy("doc_id").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high")),
-                         "doc_id")
-    left, right = placed.alias("l"), placed.alias("r")
-    across = (left.join(right, (F.col("l.key") == F.col("r.key")) & (F.col("l.component") < F.col("r.component"))
-                        & (100 * F.col("l.high") >= PERCENT * F.col("r.low"))
-                        & (100 * F.col("r.high") >= PERCENT * F.col("l.low")))
-              .select(F.greatest("l.doc_id", "r.doc_id").alias("u"), F.least("l.doc_id", "r.doc_id").alias("v"))
-              .distinct().join(best, ["u", "v"], "left_anti"))
-    more = confirm(docs, stage(across, "across"))
+    links, tried, label = None, None, None
+    for turn in range(TURNS):
+        pairs = stage(stars(mixed(tables, label), turn), "stars")
+        found = stage(confirm(docs, pairs), "links")
+        links = found if links is None else links.unionByName(found)
+        tried = pairs if tried is None else tried.unionByName(pairs)
+        label = components(links)
+        if turn and found.count() <= YIELD * pairs.count():
+            break
+
+    # Every pair of nodes that meets across components, in its first common half key.
+    rest = mixed(tables, label).select("doc_id", "component").distinct()
+    rest = stage(rest.join(nodes, "doc_id").select("doc_id", "component", "n_shingles", "a", "b"), "rest")
+    rest = rest.withColumn("half", F.explode("a"))
+    left, right = rest.alias("l"), rest.alias("r")
+    across = (left.join(right, (F.col("l.half") == F.col("r.half")) & (F.col("l.component") < F.col("r.component"))
+                        & (100 * F.col("l.n_shingles") >= PERCENT * F.col("r.n_shingles"))
+                        & (100 * F.col("r.n_shingles") >= PERCENT * F.col("l.n_shingles"))
+                        & (F.col("l.half") == F.array_min(F.array_intersect("l.a", "r.a")))
+                        & F.arrays_overlap("l.b", "r.b"))
+              .select(F.greatest("l.doc_id", "r.doc_id").alias("u"), F.least("l.doc_id", "r.doc_id").alias("v")))
+    tried = tried.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+    more = confirm(docs, stage(across.join(tried, ["u", "v"], "left_anti").distinct(), "across"))
+
     # Rows of one doc_id with different texts: their sets belong together.
     several = member.groupBy("doc_id").agg(F.min("node").alias("v"), F.max("node").alias("w")).filter("v < w")
     same_id = member.join(several.select("doc_id", "v"), "doc_id").select(F.col("node").alias("u"), "v")
