@@ -1,6 +1,7 @@
 """Toxicity of documents: a learned lexicon, found also where terms are misspelled.
 
-1. Lexicon: words whose labelled documents are nearly all toxic. Documents are counted
+1. Lexicon, from at most SAMPLE labelled documents of each class, those with the
+   smallest hash of the doc_id: words whose labelled documents are nearly all toxic. Documents are counted
    once per smallest 5-word shingle, so that many copies of one toxic text do not make
    their other words toxic. A term must stand in the share SUPPORT of the toxic
    documents, so at most (words of a document) / SUPPORT terms can pass, however large
@@ -34,6 +35,7 @@ from pyspark.sql import functions as F
 from relay.llm import words
 from relay.session import ship, stage
 
+SAMPLE = 4000
 SUPPORT = 0.01
 CAUTION = 1.0
 PURITY = 0.9
@@ -191,9 +193,14 @@ def tokens_of(df: DataFrame) -> DataFrame:
 
 def learn(docs: DataFrame, labels: DataFrame) -> tuple[list[str], frozenset[str], dict[str, float]]:
     """Terms, words of citing, and weights by kind of hit, from labelled documents."""
-    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic")
-    known = stage(docs.select("doc_id", "text").join(usable, "doc_id").select("doc_id", "text", "toxic"), "labelled")
-    seen = stage(tokens_of(known), "tokens")
+    usable = labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)).select("doc_id", "toxic").distinct()
+    sample = None
+    for value in (0, 1):
+        some = usable.filter(F.col("toxic") == value).orderBy(F.xxhash64("doc_id"), "doc_id").limit(SAMPLE)
+        sample = some if sample is None else sample.unionByName(some)
+    known = stage(docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
+                  .select("doc_id", "text", "toxic"), "labelled")
+    seen = tokens_of(known)
     toxic = seen.filter("toxic = 1").count()
     counted = (seen.select("toxic", F.explode("w").alias("w")).groupBy("w")
                .agg(F.sum("toxic").alias("t"), F.count("*").alias("n")))
