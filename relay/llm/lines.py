@@ -25,7 +25,7 @@ removed. Other columns are kept; an empty table gives an empty one.
 
 from __future__ import annotations
 
-import math
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,22 +40,32 @@ HASH_BITS = 47
 
 
 def words_of(line: Column) -> Column:
-    plain = F.translate(F.lower(line), "\t\v\f\r", "    ")
-    plain = F.trim(F.when(F.contains(plain, F.lit("  ")), F.regexp_replace(plain, " +", " ")).otherwise(plain))
-    return F.when(plain == "", F.array().cast("array<string>")).otherwise(F.split(plain, " "))
+    """Words of a line; none is an empty one."""
+    plain = F.lower(line)
+    for blank in "\t\v\f\r":
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
+    return once(F.split(plain, " "), lambda w: F.when(
+        F.array_contains(w, ""), F.filter(w, lambda x: x != "")).otherwise(w))
 
 
-def with_shingles(lines: DataFrame) -> DataFrame:
-    """Add `shingles`: hashes of the 5-word shingles of `line`, HASH_BITS bits each."""
-    own = lines.withColumn("_w", F.transform(words_of(F.col("line")), lambda w: F.xxhash64(w)))
+def once(value: Column, then: Callable[[Column], Column]) -> Column:
+    """An expression over a value that is computed once, however often it is used: the
+    value is bound as the variable of a lambda, so nothing is copied into a row."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def shingles_of(line: Column) -> Column:
+    """Hashes of the 5-word shingles of a line in order, HASH_BITS bits each."""
     mask = F.lit((1 << HASH_BITS) - 1).cast("long")
-    runs = F.transform(F.col("_w"), lambda w, i: F.xxhash64(
-        w, *[F.get("_w", i + k) for k in range(1, SHINGLE)]).bitwiseAND(mask))
-    several = F.slice(runs, F.lit(1), F.greatest(F.size("_w") - (SHINGLE - 1), F.lit(1)))
-    whole = F.array(F.xxhash64("_w").bitwiseAND(mask))
-    shingles = (F.when(F.size("_w") >= SHINGLE, several).when(F.size("_w") > 0, whole)
+
+    def runs(w: Column) -> Column:
+        several = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0))), lambda i: F.xxhash64(
+            *[F.get(w, i + k) for k in range(SHINGLE)]).bitwiseAND(mask))
+        whole = F.array(F.xxhash64(w).bitwiseAND(mask))
+        return (F.when(F.size(w) >= SHINGLE, several).when(F.size(w) > 0, whole)
                 .otherwise(F.array().cast("array<bigint>")))
-    return own.withColumn("shingles", shingles).drop("_w")
+
+    return once(words_of(line), runs)
 
 
 def lines_of(docs: DataFrame) -> DataFrame:
@@ -67,27 +77,28 @@ def ranks(lines: DataFrame) -> Column:
     """The counters of all shingles as a constant array: 0 for the rarest. The result
     of the aggregate, and so the constant, has RANKS entries at any size."""
     counter = F.col("s").bitwiseAND(RANKS - 1)
-    counted = (with_shingles(lines).select(F.explode("shingles").alias("s"))
+    counted = (lines.select(F.explode(shingles_of(F.col("line"))).alias("s"))
                .groupBy(counter.cast("int").alias("at")).count().collect())
     held = {row["at"]: row["count"] for row in counted}
     order = {at: rank for rank, at in enumerate(sorted(range(RANKS), key=lambda at: (held.get(at, 0), at)))}
     return F.from_json(F.lit("[" + ",".join(str(order[at]) for at in range(RANKS)) + "]"), "array<int>")
 
 
-def tokens(table: Column) -> Column:
+def tokens(line: Column, table: Column) -> Column:
     """The set of a line, rarest first: rank in the high bits, hash in the low ones."""
-    ranked = F.transform("shingles", lambda s: F.get(table, s.bitwiseAND(RANKS - 1).cast("int")).cast("long"))
-    joined = F.zip_with(ranked, F.col("shingles"), lambda r, s: F.shiftleft(r, HASH_BITS).bitwiseOR(s))
-    return F.sort_array(F.array_distinct(joined))
+    place = F.transform(shingles_of(line), lambda s: F.shiftleft(
+        F.get(table, s.bitwiseAND(RANKS - 1).cast("int")).cast("long"), HASH_BITS).bitwiseOR(s))
+    return F.sort_array(F.array_distinct(place))
 
 
 def keyed(lines: DataFrame, table: Column) -> DataFrame:
-    """Per line with words: its place, hashes h1 and h2 of its set, n tokens, prefix."""
-    held = with_shingles(lines).select("doc_id", "no", tokens(table).alias("t")).filter(F.size("t") > 0)
-    n = F.size("t")
-    prefix = F.slice("t", F.lit(1), (n - F.ceil(n * PERCENT / 100) + 1).cast("int"))
-    return held.select("doc_id", "no", F.xxhash64("t").alias("h1"), F.hash("t").alias("h2"), n.alias("n"),
-                       prefix.alias("prefix"))
+    """Per line its place and `k`: hashes h1 and h2 of its set, n tokens, prefix."""
+    def key(t: Column) -> Column:
+        n = F.size(t)
+        prefix = F.slice(t, F.lit(1), (n - F.ceil(n * PERCENT / 100) + 1).cast("int"))
+        return F.struct(F.xxhash64(t).alias("h1"), F.hash(t).alias("h2"), n.alias("n"), prefix.alias("prefix"))
+
+    return lines.select("doc_id", "no", once(tokens(F.col("line"), table), key).alias("k"))
 
 
 def candidates(keys: DataFrame) -> DataFrame:
@@ -116,8 +127,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     cut = (texts.join(needed, "doc_id").select("doc_id", F.explode("nos").alias("no"), F.split("text", "\n").alias("all"))
            .select("doc_id", "no", F.get("all", F.col("no")).alias("line")))
     # Rows that repeat a doc_id with other texts may lack the line.
-    sets = with_shingles(cut.filter("line IS NOT NULL")).select(
-        "doc_id", "no", F.array_distinct("shingles").alias("s")).filter(F.size("s") > 0)
+    sets = cut.filter("line IS NOT NULL").select(
+        "doc_id", "no", F.array_distinct(shingles_of(F.col("line"))).alias("s"))
     first = sets.select(F.col("doc_id").alias("doc_a"), F.col("no").alias("no_a"), F.col("s").alias("sa"))
     second = sets.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"), F.col("s").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -130,7 +141,7 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
 def removals(docs: DataFrame) -> DataFrame:
     """Places (doc_id, no) of all lines that go."""
     lines = lines_of(docs)
-    keys = stage(keyed(lines, ranks(lines)), "line-keys")
+    keys = stage(keyed(lines, ranks(lines)), "line-keys").select("doc_id", "no", "k.*").filter("n > 0")
     pairs = stage(candidates(keys), "line-pairs")
     stay = (keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"))
             .select("first.doc_id", "first.no").join(verified(docs, pairs), ["doc_id", "no"], "left_anti"))
