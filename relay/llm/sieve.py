@@ -24,3 +24,12 @@ def sieve(ids: DataFrame, of: str = "doc_id") -> Column:
         bits[row["at"]] = row["bits"]
     table = F.from_json(F.lit("[" + ",".join(map(str, bits)) + "]"), "array<bigint>")
     return F.col(of).isNotNull() & (F.getbit(F.get(table, at), bit) == 1)
+
+
+def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents whose doc_id is not in a stored table of doc_ids. Only those that
+    may be in it are shuffled; documents without doc_id stay."""
+    may = F.coalesce(sieve(ids), F.lit(False))
+    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
+    rest = docs.filter(may).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    return docs.filter(~may).unionByName(rest)
