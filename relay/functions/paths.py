@@ -8,9 +8,10 @@ import re
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from relay.functions.json_values import as_column, is_literal, leaf, typed
+from relay.functions.json_values import as_column, is_literal, is_string, leaf, typed
 
 _PLAIN_NAME = re.compile(r"[A-Za-z0-9_\- ]+")
+_NUMBER = re.compile(r"-?[0-9]+(\.[0-9]+)?([eE][+-]?[0-9]+)?")
 _SMALL_ESCAPE = re.compile(r"\\u00[0-9a-f]{2}")
 
 
@@ -38,10 +39,16 @@ def _at(path: str, value: str | None, message: Column) -> Column:
     if value is None:
         return leaf(message, path).isNotNull()
     elements = typed(message, path, "array<variant>")
-    return F.coalesce(
-        F.exists(elements, lambda x: F.coalesce(typed(x, "$", "string") == value, F.lit(False))),
-        typed(message, path, "string") == value,
-    )
+    return F.coalesce(F.exists(elements, lambda x: F.coalesce(_same(x, value), F.lit(False))),
+                      _same(leaf(message, path), value))
+
+
+def _same(found: Column, value: str) -> Column:
+    """Equal as text, or, for numbers, equal however they are written (1e3 and 1000)."""
+    same = typed(found, "$", "string") == value
+    if not _NUMBER.fullmatch(value):
+        return same
+    return same | F.coalesce(~is_string(found) & (typed(found, "$", "double") == float(value)), F.lit(False))
 
 
 def _any_depth(path: str, value: str | None, message: Column, raw: Column | str | None) -> Column:

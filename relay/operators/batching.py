@@ -87,15 +87,23 @@ def split_max(df: DataFrame, max_size: int = 0) -> DataFrame:
 
 
 def with_seq(value: Column, seq: Column, seq_field: str = SEQ_FIELD) -> Column:
-    """A JSON object text with its index added under `seq_field`."""
+    """A JSON object text with its index added under `seq_field`. Of a key that is given
+    several times the last value stays."""
     fields = F.from_json(value.cast("string"), "map<string,variant>")
-    others = F.map_filter(fields, lambda name, _: name != seq_field)
-    return F.to_json(F.map_concat(others, F.create_map(F.lit(seq_field), seq.cast("variant"))))
+    names = F.reverse(F.map_keys(fields))
+    last = F.size(names)
+    others = F.filter(F.map_entries(fields), lambda entry, at: (entry["key"] != seq_field)
+                      & (at == last - F.array_position(names, entry["key"])))
+    own = F.array(F.struct(F.lit(seq_field).alias("key"), seq.cast("variant").alias("value")))
+    return F.to_json(F.map_from_entries(F.concat(others, own)))
 
 
 def _bodies(members: DataFrame, text: Column) -> DataFrame:
     """One request per (batch, request_no). A group holds at most one batch, so
-    the collected list is bounded by the batch size."""
+    the collected list is bounded by the batch size. A value without text would be
+    missing in the body, so it is an error."""
+    text = F.coalesce(text, F.raise_error(F.lit(
+        "a value has no text for a request body: split such messages off first")).cast("string"))
     ordered = F.array_sort(F.collect_list(F.struct("seq", text.alias("text"))))
     joined = F.array_join(F.transform(ordered, lambda x: x["text"]), ",")
     groups = [*PARTITION, "chunk_no", "request_no", "batch_id", "request_id"]
@@ -108,7 +116,7 @@ def _bodies(members: DataFrame, text: Column) -> DataFrame:
 
 
 def batch_body(members: DataFrame) -> DataFrame:
-    """One request per batch: a JSON array of the raw values in order."""
+    """One request per batch: a JSON array of the raw values in order, none of them NULL."""
     return _bodies(members, F.col("value").cast("string"))
 
 

@@ -179,7 +179,7 @@ def retry(failures: DataFrame, transport: Transport, max_attempts: int = 3, init
 
 
 def expand_batch_failure(outcomes: DataFrame, members: DataFrame,
-                         reason: str = "sink returned non-2xx status") -> DataFrame:
+                         reason: str = "the sink refused the request") -> DataFrame:
     """All-or-nothing: every message of a failed request with its status."""
     failed = outcomes.filter(~status.is_success("status_code")).select(
         "request_id", "status_code",

@@ -78,13 +78,15 @@ def rolling(df: DataFrame, keys: Sequence[str], position: str, reach: int,
 
 
 def join_per_key(rows: DataFrame, summary: DataFrame, keys: Sequence[str], spread: str,
-                 how: str = "inner", salts: int = 64) -> DataFrame:
+                 how: str = "inner", salts: int | None = None) -> DataFrame:
     """Join rows with a table that has one row per key, safe for hot keys.
 
     The summary is repeated once per salt and rows pick a salt from the integer
     column `spread`, so one key spreads over `salts` tasks when the join has to
-    shuffle. When the summary turns out small AQE broadcasts it instead.
+    shuffle. There are as many salts as shuffle partitions, unless given. When the
+    summary turns out small AQE broadcasts it instead.
     """
+    salts = salts or int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     salt = F.pmod(F.col(spread), F.lit(salts)).cast("int")
     repeated = summary.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     return rows.withColumn("_salt", salt).join(repeated, [*keys, "_salt"], how).drop("_salt")

@@ -22,7 +22,7 @@ from relay.functions.json_values import (
 )
 from relay.operators.delivery import as_failures
 
-NO_RESULT = "no result in response"
+NO_RESULT = "the answer has no entry for this message"
 UNREADABLE = "batch response cannot be parsed"
 
 
@@ -164,7 +164,7 @@ def response_failures(outcomes: DataFrame, members: DataFrame,
         "_status": F.when(~ok, F.col("status_code")),
         "_whole": F.when(~ok & (F.col("status_code") == 0),
                          F.coalesce("error", F.lit("transport failure")))
-        .when(~ok, "batch endpoint returned non-2xx status")})
+        .when(~ok, "the whole batch was refused")})
     listed = _entries(readable, fields, "_body").withColumn("parse_error", F.col("_entries").isNull())
     rows = _explode(listed, fields, "size", ["_status", "_whole", "parse_error"])
     failed = rows.filter(~F.col("success")).select(

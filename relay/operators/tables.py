@@ -116,21 +116,24 @@ def keyed_upsert(target: DataFrame | None, messages: DataFrame, keys: Sequence[s
     """The target after merging messages column by column.
 
     Only the keys present in a message overwrite; an explicit null does too.
-    Without `keys` messages are appended.
+    Without `keys` messages are appended, and so is every message in which a key is
+    missing or null: NULL keys are never the same, neither here nor in `keyed_insert`.
     """
     schema = _schema(columns)
     if not keys:
         added = json_to_columns(messages, schema, keep=[])
         return added if target is None else target.select(*schema).unionByName(added)
-    latest = latest_columns(messages, keys, schema)
+    whole = reduce(lambda a, b: a & b, [typed("message", key_path(k), schema[k]).isNotNull() for k in keys])
+    latest = latest_columns(messages.filter(whole), keys, schema)
+    alone = json_to_columns(messages.filter(~whole), schema, keep=[])
     values = [n for n in schema if n not in keys]
     if target is None:
-        return latest.select(*keys, *[F.col(n)["value"].alias(n) for n in values])
+        return latest.select(*keys, *[F.col(n)["value"].alias(n) for n in values]).unionByName(alone)
     old = target.select(*keys, *[F.col(n).alias(f"_old_{n}") for n in values])
     return latest.join(old, list(keys), "full_outer").select(
         *keys,
         *[F.when(F.col(n).isNotNull(), F.col(n)["value"]).otherwise(F.col(f"_old_{n}")).alias(n)
-          for n in values])
+          for n in values]).unionByName(alone)
 
 
 def materialize_keyvalue(messages: DataFrame, store_key: Column,

@@ -146,7 +146,7 @@ def ordered_deliver(spark, sf):
 
 @query("expand_batch_failure", sql([chunks(), BATCHES], f"""
 SELECT m.topic, m."partition", m."offset", status_code,
-       CASE WHEN status_code = 0 THEN 'refused' ELSE 'sink returned non-2xx status' END AS error_message,
+       CASE WHEN status_code = 0 THEN 'refused' ELSE 'the sink refused the request' END AS error_message,
        CASE status_code WHEN 404 THEN 'SINK_4XX_ERROR' WHEN 503 THEN 'SINK_5XX_ERROR'
             ELSE 'SINK_UNKNOWN_ERROR' END AS error_type, FALSE AS retried
 FROM members m JOIN (SELECT batch_id, {KIND} AS status_code FROM batches) b ON m.batch_id = b.batch_id
@@ -196,7 +196,7 @@ SELECT request_id, seq, status_code, error_message FROM (
   SELECT r.request_id, t.s AS seq, r.code AS status_code,
          CASE r.code WHEN 0 THEN CASE WHEN r.k % 11 = 3 THEN 'timed out'
            ELSE 'batch response cannot be parsed' END
-           ELSE 'batch endpoint returned non-2xx status' END AS error_message
+           ELSE 'the whole batch was refused' END AS error_message
   FROM (SELECT *, CAST(CASE WHEN k % 11 = 3 THEN 0 WHEN k % 11 = 5 THEN 502 WHEN kind >= 8 THEN 0
                ELSE 200 END AS INTEGER) AS code FROM responses) r,
        (SELECT CAST(s AS INTEGER) AS s FROM range(0, 7) AS x(s)) t WHERE r.code <> 200

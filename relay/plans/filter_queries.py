@@ -79,7 +79,7 @@ def decode_protobuf_raw(spark, sf):
 
 
 def event_descriptor() -> bytes:
-    """Descriptor set of relay.test.Event {string name = 1; int32 id = 2;}."""
+    """Descriptor set of relay.test.Event {string name = 1; uint32 id = 2;}."""
     from google.protobuf import descriptor_pb2
 
     field = descriptor_pb2.FieldDescriptorProto
@@ -87,17 +87,18 @@ def event_descriptor() -> bytes:
     file = files.file.add(name="event.proto", package="relay.test", syntax="proto3")
     message = file.message_type.add(name="Event")
     message.field.add(name="name", number=1, type=field.TYPE_STRING, label=field.LABEL_OPTIONAL)
-    message.field.add(name="id", number=2, type=field.TYPE_INT32, label=field.LABEL_OPTIONAL)
+    message.field.add(name="id", number=2, type=field.TYPE_UINT32, label=field.LABEL_OPTIONAL)
     return files.SerializeToString()
 
 
 # Wire form of (event_type, event_id): tag 0a, length, text, tag 10, base-128
-# number of three bytes. Every twentieth record is cut short.
+# number of five bytes, enough for 32 bits. Every twentieth record is cut short.
 PROTO_VALUE = """
 CASE WHEN event_id % 20 = 0 THEN unhex('0a7f41')
 ELSE unhex(concat('0a', lpad(hex(length(event_type)), 2, '0'), hex(event_type), '10',
      hex(event_id % 128 + 128), hex(shiftright(event_id, 7) % 128 + 128),
-     lpad(hex(shiftright(event_id, 14)), 2, '0'))) END"""
+     hex(shiftright(event_id, 14) % 128 + 128), hex(shiftright(event_id, 21) % 128 + 128),
+     lpad(hex(shiftright(event_id, 28)), 2, '0'))) END"""
 
 
 @query("decode_protobuf", """

@@ -119,7 +119,7 @@ slots AS (
   SELECT request_id, CAST(s AS INTEGER) AS seq FROM responses, range(0, 7) AS t(s) WHERE kind < 8),
 results AS (
   SELECT s.request_id, s.seq, coalesce(e.success, FALSE) AS success,
-         coalesce(e.error, 'no result in response') AS error,
+         coalesce(e.error, 'the answer has no entry for this message') AS error,
          coalesce(e.retryable, TRUE) AS is_retryable
   FROM slots s LEFT JOIN (
     SELECT * FROM entries QUALIFY row_number() OVER (PARTITION BY request_id, seq ORDER BY pos DESC) = 1

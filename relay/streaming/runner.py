@@ -118,7 +118,9 @@ def classify(messages: DataFrame, options: RelayOptions) -> DataFrame:
         by_path = isinstance(spec, str) and spec.strip().startswith("$")
         passed = truthy(make_filter(spec, message="any_message" if by_path else "message",
                                     raw="value", df=rows))
-    unusable = F.col("message").isNull() if options.mode == "with_response" else F.lit(False)
+    # What cannot stand in a body is a dead letter, never silently left out.
+    unusable = (F.col("message").isNull() if options.mode == "with_response"
+                else F.col("value").isNull() if options.mode == "batch" else F.lit(False))
 
     rows = computed_once(rows, "reason", reason)
     stage = (F.when(undecoded, REJECT).when(F.col("reason").isNotNull(), INVALID)
