@@ -7,10 +7,12 @@ probability (1 - (1 - s^3)^24) * (1 - (1 - s^2)^15): above 0.999993 at 0.75.
 
 1. Equal sets are one node: copies are counted, not compared.
 2. Half keys A that two nodes share are found first; only those are combined with B.
-3. In turns, each table has a centre, every node of another component is paired with
+3. Nodes with more than a quarter of shingles that no other node holds cannot be linked
+   and go out. That spares groups of half-similar texts all their pairs.
+4. In turns, each table has a centre, every node of another component is paired with
    the centre it meets most often, and these pairs are compared on full sets. Each turn
    is linear in the nodes and links most of a group of copies, until few pairs do.
-4. Where tables still hold nodes of different components, all pairs across components
+5. Where tables still hold nodes of different components, all pairs across components
    that meet are compared, each once. So no link is lost between nodes that meet, and
    no pair inside a component is made.
 
@@ -101,6 +103,41 @@ def sketch(docs: DataFrame) -> DataFrame:
         run, "doc_id long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
 
 
+def shingle_rows(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """(doc_id, n_shingles, shingle) of the full sets of the documents in a stored table of ids."""
+    ship(docs.sparkSession)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in words.slices(batch):
+                own, begins = words.hashes(part.column("text"))
+                each = [words.shingle_set(own[begins[i]:begins[i + 1]], SHINGLE) for i in range(part.num_rows)]
+                n = np.array([len(s) for s in each], dtype=np.int64)
+                doc = np.repeat(np.asarray(part.column("doc_id"), dtype=np.int64), n)
+                shingle = np.concatenate(each).astype(np.int64) if each else np.zeros(0, np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(np.repeat(n, n)), pa.array(shingle)],
+                                                 ["doc_id", "n_shingles", "shingle"])
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").filter(sieve(ids))
+    return texts.mapInArrow(run, "doc_id long, n_shingles long, shingle long").join(ids, "doc_id", "left_semi")
+
+
+def linkable(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """Those ids whose sets can be linked with another one of them at all.
+
+    A link needs three quarters of either set in common, so shingles that stand in no
+    other set must not be more than a quarter. They are counted without a join: a
+    shingle with one document is that document's own.
+    """
+    rows = shingle_rows(docs, ids)
+    held = rows.groupBy("shingle").agg(F.count("*").alias("c"), F.min("doc_id").alias("doc_id"),
+                                       F.min("n_shingles").alias("n_shingles"))
+    own = held.filter("c = 1").groupBy("doc_id", "n_shingles").agg(F.count("*").alias("own"))
+    sizes = ids.join(own, ["doc_id", "n_shingles"], "left")
+    return (sizes.filter((100 - PERCENT) * F.col("n_shingles") >= 100 * F.coalesce("own", F.lit(0)))
+            .select("doc_id").distinct())
+
+
 def confirm(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Those pairs (u, v) whose full shingle sets are similar enough."""
     ship(docs.sparkSession)
@@ -171,10 +208,14 @@ def groups(docs: DataFrame) -> DataFrame:
     halves = nodes.select("doc_id", F.explode("a").alias("half"))
     shared = halves.groupBy("half").agg(F.count("*").alias("c")).filter("c > 1").select("half")
     found = halves.join(shared, "half").groupBy("doc_id").agg(F.collect_set("half").alias("halves"))
-    tables = stage(found.join(nodes.select("doc_id", "b"), "doc_id")
-                   .select("doc_id", F.explode("halves").alias("half"), "b")
-                   .select("doc_id", "half", F.explode("b").alias("other"))
-                   .select("doc_id", F.xxhash64("half", "other").alias("key")), "tables")
+    every = (found.join(nodes.select("doc_id", "b"), "doc_id")
+             .select("doc_id", F.explode("halves").alias("half"), "b")
+             .select("doc_id", "half", F.explode("b").alias("other"))
+             .select("doc_id", F.xxhash64("half", "other").alias("key")))
+    every = stage(every, "tables")
+    met = mixed(every, None).select("doc_id").distinct().join(nodes.select("doc_id", "n_shingles"), "doc_id")
+    alive = linkable(docs, stage(met, "met"))
+    tables = stage(every.join(alive, "doc_id", "left_semi"), "tables")
 
     links, tried, label = None, None, None
     for turn in range(TURNS):
@@ -188,6 +229,8 @@ def groups(docs: DataFrame) -> DataFrame:
 
     # Every pair of nodes that meets across components, in its first common half key.
     rest = mixed(tables, label).select("doc_id", "component").distinct()
+    able = stage(rest.join(nodes.select("doc_id", "n_shingles"), "doc_id").select("doc_id", "n_shingles"), "able")
+    rest = rest.join(linkable(docs, able), "doc_id", "left_semi")
     rest = stage(rest.join(nodes, "doc_id").select("doc_id", "component", "n_shingles", "a", "b"), "rest")
     rest = rest.withColumn("half", F.explode("a"))
     left, right = rest.alias("l"), rest.alias("r")
