@@ -17,7 +17,6 @@ from relay.functions.json_values import computed_once, key_path, leaf, parse_obj
 from relay.operators.positions import SLOT_WIDTH, number_rows
 from relay.sources.envelope import POSITION
 
-MAX_COLUMNS = 10_000
 
 
 def split_bad_json(df: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -32,14 +31,12 @@ def split_bad_json(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     return parsed.filter(F.col("message").isNotNull()), bad
 
 
-def discover_columns(df: DataFrame, max_columns: int = MAX_COLUMNS) -> list[str]:
-    """Sorted distinct top-level keys. The names become a schema, so they must
-    reach the driver; more than `max_columns` is an error, never a cut."""
-    keys = F.explode(F.json_object_keys(F.col("value").cast("string"))).alias("name")
-    names = df.select(keys).distinct().limit(max_columns + 1).collect()
-    if len(names) > max_columns:
-        raise ValueError(f"more than {max_columns} distinct keys: give the columns explicitly")
-    return sorted(row["name"] for row in names)
+def json_to_rows(messages: DataFrame, keep: Sequence[str] = POSITION) -> DataFrame:
+    """Top-level keys in long form: one row per message and key, with `name` and `value`
+    (the text of the value, NULL for JSON null). For keys that are not known before."""
+    fields = typed("message", "$", "map<string,variant>")
+    return messages.select(*keep, F.explode(fields).alias("name", "_value")).select(
+        *keep, "name", F.col("_value").cast("string").alias("value"))
 
 
 def _schema(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
@@ -47,14 +44,14 @@ def _schema(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return {name: types[name] for name in sorted(types)}
 
 
-def json_to_columns(messages: DataFrame, columns: Sequence[str] | Mapping[str, str] | None = None,
+def json_to_columns(messages: DataFrame, columns: Sequence[str] | Mapping[str, str],
                     keep: Sequence[str] = POSITION) -> DataFrame:
     """Top-level keys as table columns, sorted by name.
 
-    `columns` gives names (text columns) or names with types; without it one
-    pass over the data finds the names.
+    `columns` gives names (text columns) or names with types. A table cannot have
+    columns that only the data tell: see `json_to_rows` for those.
     """
-    schema = _schema(columns if columns is not None else discover_columns(messages))
+    schema = _schema(columns)
     return messages.select(*keep, *[
         typed("message", key_path(name), type_name).alias(name)
         for name, type_name in schema.items()])

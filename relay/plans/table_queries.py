@@ -40,10 +40,23 @@ SELECT {POS_SQL}, CAST(CAST(value AS JSON)->>'$.amount' AS DOUBLE) AS amount,
 FROM messages"""))
 def json_to_columns(spark, sf):
     # The engines print whole decimals differently (7 and 7.0): compare amounts as numbers.
-    rows = tables.json_to_columns(_keyed(spark, sf))
+    rows = tables.json_to_columns(_keyed(spark, sf), ["amount", "customer", "order", "status"])
     return rows.withColumn("amount", F.col("amount").cast("double"))
 
 
+@query("json_to_rows", sql([KEYED], f"""
+SELECT {POS_SQL}, name, CASE WHEN name <> 'amount' THEN v END AS value,
+       CASE WHEN name = 'amount' THEN CAST(v AS DOUBLE) END AS amount
+FROM (SELECT *, CAST(value AS JSON)->>('$.' || name) AS v
+      FROM messages, (VALUES ('amount'), ('customer'), ('order'), ('status')) AS names(name))
+WHERE v IS NOT NULL"""))
+def json_to_rows(spark, sf):
+    rows = tables.json_to_rows(_keyed(spark, sf)).filter("value IS NOT NULL")
+    amount = F.col("name") == "amount"
+    return rows.select(*POS, "name", F.when(~amount, F.col("value")).alias("value"),
+                       F.when(amount, F.col("value").cast("double")).alias("amount"))
+
+
 @query("json_to_typed_columns", sql([KEYED], f"""
 SELECT {POS_SQL}, CAST(CAST(value AS JSON)->>'$.amount' AS DOUBLE) AS amount,
        CAST(CAST(value AS JSON)->>'$.customer' AS BIGINT) AS customer FROM messages"""))
