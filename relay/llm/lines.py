@@ -114,8 +114,8 @@ def candidates(keys: DataFrame) -> DataFrame:
     earlier = (F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.no") < F.col("b.no")))
     return (left.join(right, (F.col("a.token") == F.col("b.token")) & earlier
                       & (100 * small >= PERCENT * large) & (room >= needed))
-            .select(F.col("a.doc").alias("doc_a"), F.col("a.no").alias("no_a"),
-                    F.col("b.doc").alias("doc_b"), F.col("b.no").alias("no_b")).distinct())
+            .groupBy(F.col("a.doc").alias("doc_a"), F.col("a.no").alias("no_a"),
+                     F.col("b.doc").alias("doc_b"), F.col("b.no").alias("no_b")).agg(F.count("*").alias("met")))
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -138,13 +138,26 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .select(F.col("doc_b").alias("doc_id"), F.col("no_b").alias("no")).distinct())
 
 
+def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Places of the classes that any earlier class matches. One match is enough: every
+    class is first compared with the earlier one it shares most prefix tokens with, and
+    only those that this leaves open with all others."""
+    best = pairs.groupBy("doc_b", "no_b").agg(
+        F.max_by(F.struct("doc_a", "no_a"), F.struct("met", "doc_a", "no_a")).alias("a")).select(
+        "a.doc_a", "a.no_a", "doc_b", "no_b")
+    found = stage(verified(docs, stage(best, "line-best")), "line-found")
+    done = found.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"))
+    rest = pairs.join(done, ["doc_b", "no_b"], "left_anti").join(best, ["doc_a", "no_a", "doc_b", "no_b"], "left_anti")
+    return found.unionByName(verified(docs, stage(rest, "line-rest")))
+
+
 def removals(docs: DataFrame) -> DataFrame:
     """Places (doc_id, no) of all lines that go."""
     lines = lines_of(docs)
     keys = stage(keyed(lines, ranks(lines)), "line-keys").select("doc_id", "no", "k.*").filter("n > 0")
     pairs = stage(candidates(keys), "line-pairs")
     stay = (keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"))
-            .select("first.doc_id", "first.no").join(verified(docs, pairs), ["doc_id", "no"], "left_anti"))
+            .select("first.doc_id", "first.no").join(matched(docs, pairs), ["doc_id", "no"], "left_anti"))
     return keys.select("doc_id", "no").join(stay, ["doc_id", "no"], "left_anti").distinct()
 
 
