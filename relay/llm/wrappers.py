@@ -22,6 +22,7 @@ hashes are shuffled, and a host with very many pages is summed up before it is.
 
 from __future__ import annotations
 
+import functools
 import html as entities
 import re
 from collections.abc import Iterator
@@ -65,6 +66,10 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|hidden|aria-hidden|itemprop)\b(?:\s*
 BLANKS = re.compile(r"\s+")
 
 
+# Signs that write skeletons do not stand in keys.
+CLEAN = str.maketrans("();/", "____")
+
+
 class Node:
     __slots__ = ("tag", "key", "children", "drop", "main", "parts")
 
@@ -74,11 +79,14 @@ class Node:
         self.parts: list = []
 
 
+@functools.lru_cache(maxsize=50_000)
 def marked(tag: str, attributes: str) -> tuple[str, bool]:
     """What tells a node from others (tag, class, id), and if its markup rules it out."""
     if not attributes or attributes.isspace():
         return tag, tag in NO_CONTENT
     key, drop = tag, tag in NO_CONTENT
+    if "=" not in attributes:
+        return key, drop or "hidden" in attributes.lower().split()
     for name, value in ATTRIBUTE.findall(attributes):
         name, value = name.lower(), value.strip("\"'").strip()
         if name in ("class", "id"):
@@ -89,7 +97,7 @@ def marked(tag: str, attributes: str) -> tuple[str, bool]:
             drop = drop or value.lower() in ROLES
         elif name == "hidden" or name == "aria-hidden" and value.lower() == "true":
             drop = True
-    return key, drop
+    return key.translate(CLEAN), drop
 
 
 def parse(page: str) -> Node:
@@ -278,46 +286,46 @@ def unwrite(text: str) -> tuple:
     return stack[0][1][0]
 
 
-CLEAN = str.maketrans("();/", "____")
-
-
 def read(page: str | None) -> tuple[str, list[tuple[str, str, bool, bool]]]:
     root = parse(page or "")
-    todo = [(root, 0)]
-    while todo:  # keys without the signs that write skeletons, nesting bounded for them
-        node, depth = todo.pop()
-        node.key = node.key.translate(CLEAN)
-        if depth >= 60:
-            node.key, kept = f"{node.key}", []
-        else:
-            kept = node.children
-        node.children = kept
-        todo += [(c, depth + 1) for c in kept]
+    level = [root]
+    for _ in range(60):
+        level = [c for node in level for c in node.children]
+        if not level:
+            break
+    for node in level:  # deeper nodes keep their text, but do not shape the skeleton
+        node.children = []
     return write(skeleton(root)), blocks(root)
 
 
-def h64(text: str) -> int:
+@functools.lru_cache(maxsize=50_000)
+def slot_id(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
 def read_pages(pages: DataFrame) -> DataFrame:
     """Per page: its host, skeleton, and blocks that markup does not rule out."""
     ship(pages.sparkSession)
-    block = pa.struct([("slot", pa.int64()), ("text", pa.string()), ("main", pa.bool_())])
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch, "html"):
-                shapes, held = [], []
+                shapes, slots, texts, mains, offsets = [], [], [], [], [0]
                 for page in part.column("html").to_pylist():
                     shape, found = read(page)
                     shapes.append(shape)
-                    kept = [(h64(slot), text, main) for slot, text, drop, main in found if not drop]
-                    inside = [b for b in kept if b[2]]
-                    held.append([dict(zip(("slot", "text", "main"), b)) for b in inside or kept])
+                    kept = [b for b in found if not b[2]]
+                    for slot, text, _, main in [b for b in kept if b[3]] or kept:
+                        slots.append(slot_id(slot))
+                        texts.append(text)
+                        mains.append(main)
+                    offsets.append(len(slots))
+                blocks_ = pa.StructArray.from_arrays(
+                    [pa.array(slots, pa.int64()), pa.array(texts, pa.string()), pa.array(mains, pa.bool_())],
+                    ["slot", "text", "main"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), part.column("host"), pa.array(shapes, pa.string()),
-                     pa.array([h64(s) for s in shapes], pa.int64()), pa.array(held, pa.list_(block))],
+                     pa.array([slot_id(s) for s in shapes], pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), blocks_)],
                     ["page_id", "url", "host", "shape", "shape_id", "blocks"])
 
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
@@ -326,10 +334,17 @@ def read_pages(pages: DataFrame) -> DataFrame:
              "blocks array<struct<slot: long, text: string, main: boolean>>")
 
 
-def templates(read_: DataFrame) -> DataFrame:
-    """host, shape_id and the slots that are template in pages of that skeleton. Only
-    slots outside marked main parts are looked at."""
-    known = read_.filter("host IS NOT NULL")
+def facts(found: DataFrame) -> DataFrame:
+    """What the wrappers are induced from, without texts: host, skeleton, and the slots
+    outside marked main parts with hashes of their texts."""
+    free = F.filter("blocks", lambda b: ~b["main"])
+    return found.filter("host IS NOT NULL").select("host", "shape_id", "shape", F.transform(
+        free, lambda b: F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("text"))).alias("slots"))
+
+
+def templates(known: DataFrame) -> DataFrame:
+    """host, shape_id and the slots that are template in pages of that skeleton, from a
+    stored table of facts."""
     shapes = known.groupBy("host", "shape_id").agg(F.count("*").alias("pages"), F.min("shape").alias("shape"))
     wrapper = shapes.groupBy("host").agg(
         F.max_by("shape", F.struct("pages", "shape_id")).alias("wrapper"), F.count("*").alias("kinds"))
@@ -342,15 +357,14 @@ def templates(read_: DataFrame) -> DataFrame:
                 for own, other in match_trees(unwrite(shape), unwrite(wrapper_)).items():
                     host.append(h)
                     shape_id.append(i)
-                    slot.append(h64(own))
-                    same.append(h64(other))
+                    slot.append(slot_id(own))
+                    same.append(slot_id(other))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(host, pa.string()), *(pa.array(c, pa.int64()) for c in (shape_id, slot, same))],
                 ["host", "shape_id", "slot", "same"])
 
     aligned = pairs.mapInArrow(run, "host string, shape_id long, slot long, same long")
-    texts = (known.select("page_id", "host", "shape_id", F.explode("blocks").alias("b")).filter("NOT b.main")
-             .select("host", "shape_id", F.col("b.slot").alias("slot"), F.xxhash64("b.text").alias("text")))
+    texts = known.select("host", "shape_id", F.explode("slots").alias("b")).select("host", "shape_id", "b.slot", "b.text")
     # Counts come first per skeleton, then per aligned slot; both combine before the shuffle.
     each = texts.groupBy("host", "shape_id", "slot").agg(
         F.min("text").alias("low"), F.max("text").alias("high"), F.count("*").alias("n"))
@@ -367,7 +381,8 @@ def templates(read_: DataFrame) -> DataFrame:
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url and the main text of every page, blocks joined by line feeds."""
     found = read_pages(pages)
-    template = stage(templates(found), "wrappers").select(
+    # Pages are read twice: to induce the wrappers, and to take the content out.
+    template = stage(templates(stage(facts(found), "page-facts")), "wrappers").select(
         F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template")
     content = F.filter("blocks", lambda b: b["main"] | F.coalesce(~F.array_contains("template", b["slot"]), F.lit(True)))
     return (found.select("page_id", "url", "host", "shape_id", "blocks")
