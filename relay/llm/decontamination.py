@@ -1,45 +1,48 @@
 """Benchmark items that leaked into training documents, also edited or paraphrased.
 
-1. Word n-grams of the items are hashed into a bit map of fixed size, which every
-   task gets, however many items there are.
-2. One pass over the whole texts keeps passages: the words around n-grams that the
-   bit map knows. Clean documents leave nothing behind.
-3. The n-grams of the passages are joined with those of the items, which drops chance
-   hits of the bit map and counts every item n-gram in the whole corpus.
-4. The rarer half of each item's n-grams are its seeds; passages are joined to items
-   by seeds alone. An item that stands in very many documents keeps its seeds, too.
-5. Passage and item are aligned by Smith-Waterman (match 1, mismatch and gap -1). The
+1. Word pairs of the items are hashed into a bit map of fixed size, which every task
+   gets, however many items there are.
+2. An alignment of m equal words and g others (mismatches and gaps) has the score m - g,
+   and its m words lie in at most g + 1 runs, so it keeps at least score - 1 pairs of
+   neighbours. One with an item of L words that reaches the threshold t keeps
+   ceil(t * L) - 1 pairs, and takes at most (2 - t) * L words of the document. One pass
+   over the whole texts keeps the passages in which so many known pairs lie so close,
+   for any of the lengths of items; clean documents leave little behind.
+3. The pairs of the passages are joined with those of the items, which drops chance hits
+   of the bit map. Passages that share as many pairs with an item as the threshold needs
+   go on, however often these pairs stand elsewhere: nothing above the threshold is lost.
+4. Passage and item are aligned by Smith-Waterman (match 1, mismatch and gap -1). The
    score is that of the best local alignment divided by the words of the item: 1 for
    a full copy, about 1 - 2e if a share e of the words was exchanged.
 
 Words are compared in lower case, without punctuation around them. Items of fewer than
-N words, or with a null text or id, have no n-gram and match nothing. Null or empty
-texts and null doc_ids match nothing. Documents or items that repeat an id give one
-row with the best score. Ties go to the first place in the document.
+N words, or with a null text or id, have no n-gram and match nothing; items of N words
+match whole. Null or empty texts and null doc_ids match nothing. Documents or items that
+repeat an id give one row with the best score. Ties go to the first place in the document.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relay.llm import words
 from relay.session import ship, stage
 
-N = 3
+N = 2
 THRESHOLD = 0.5
 BITS = 24
-GAP = 64
-AROUND = 96
+STEP = 1.25
 
 
 def item_grams(items: DataFrame) -> DataFrame:
-    """One row per item: item_id, word hashes and n-gram hashes."""
+    """One row per item: item_id, word hashes and the hash of every n-gram, repeats too."""
     ship(items.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -50,7 +53,7 @@ def item_grams(items: DataFrame) -> DataFrame:
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
                     [part.column("item_id"), pa.array([w.astype(np.int64) for w in each], longs),
-                     pa.array([np.unique(words.ngrams(w, N)).astype(np.int64) for w in each], longs)],
+                     pa.array([words.ngrams(w, N).astype(np.int64) for w in each], longs)],
                     ["item_id", "item", "grams"])
 
     return (items.filter("item_id IS NOT NULL AND text IS NOT NULL")
@@ -77,9 +80,42 @@ def known(grams: np.ndarray, bits: np.ndarray) -> np.ndarray:
     return (bits[place >> 5] >> (place & 31).astype(np.uint32)) & 1 == 1
 
 
-def passages(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """Parts of documents around known n-grams: doc_id, start (in words), the words and
-    the known n-grams."""
+def needed(length: int, threshold: float) -> int:
+    """The n-grams that an alignment keeps at least if it reaches the threshold."""
+    return max(1, math.ceil(threshold * length - 1e-9) - 1)
+
+
+def reaches(item: DataFrame, threshold: float) -> list[tuple[int, int]]:
+    """How many known n-grams within how many words an alignment holds, for every class
+    of item lengths. A class spans a factor of STEP, so there are few for any lengths."""
+    n = F.size("item")
+    rows = (item.filter(n >= N).groupBy(F.floor(F.log(n) / math.log(STEP)).alias("class"))
+            .agg(F.min(n).alias("low"), F.max(n).alias("high")).collect())
+    return sorted((needed(r["low"], threshold), math.floor((2 - threshold) * r["high"] + 1e-9)) for r in rows)
+
+
+def close(hit: np.ndarray, doc: np.ndarray, begins: np.ndarray, reach: list[tuple[int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Where passages begin and end: unions of all places that an alignment over close
+    hits can take, none over the border of a document."""
+    low, high = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for count, span in reach:
+        first, last = np.arange(len(hit) - count + 1), np.arange(count - 1, len(hit))
+        if not len(last):
+            continue
+        fits = (doc[first] == doc[last]) & (hit[last] + N - hit[first] <= span)
+        first, last = first[fits], last[fits]
+        low.append(np.maximum(begins[doc[first]], hit[last] + N - span))
+        high.append(np.minimum(begins[doc[first] + 1], hit[first] + span))
+    low, high = np.concatenate(low), np.concatenate(high)
+    order = np.argsort(low, kind="stable")
+    low, high = low[order], np.maximum.accumulate(high[order])
+    new = np.flatnonzero(np.concatenate([[True], low[1:] >= high[:-1]])) if len(low) else np.zeros(0, np.int64)
+    return low[new], high[np.append(new[1:] - 1, len(high) - 1)] if len(new) else high
+
+
+def passages(docs: DataFrame, bits: np.ndarray, reach: list[tuple[int, int]]) -> DataFrame:
+    """Parts of documents around close known n-grams: doc_id, start (in words), the words
+    and the known n-grams."""
     ship(docs.sparkSession)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -92,17 +128,15 @@ def passages(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 doc = np.searchsorted(begins, hit, side="right") - 1
                 inside = hit + N <= begins[doc + 1] if len(hit) else np.zeros(0, bool)
                 hit, doc = hit[inside], doc[inside]
-                new = np.flatnonzero((np.diff(doc) != 0) | (np.diff(hit) > GAP)) + 1 if len(hit) else []
                 ids = part.column("doc_id").to_pylist()
                 out_id, out_start, out_words, out_grams = [], [], [], []
-                for run_of in np.split(np.arange(len(hit)), new) if len(hit) else []:
-                    i = doc[run_of[0]]
-                    low = max(begins[i], hit[run_of[0]] - AROUND)
-                    high = min(begins[i + 1], hit[run_of[-1]] + N + AROUND)
+                for low, high in zip(*(x.tolist() for x in close(hit, doc, begins, reach))):
+                    inside = hit[np.searchsorted(hit, low):np.searchsorted(hit, high - N, side="right")]
+                    i = doc[np.searchsorted(hit, low)]
                     out_id.append(ids[i])
                     out_start.append(int(low - begins[i]))
                     out_words.append(own[low:high].astype(np.int64))
-                    out_grams.append(np.unique(grams[hit[run_of]]).astype(np.int64))
+                    out_grams.append(np.unique(grams[inside]).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(out_id, pa.int64()), pa.array(out_start, pa.int64()),
                      pa.array(out_words, longs), pa.array(out_grams, longs)],
@@ -132,15 +166,14 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
     """doc_id, item_id, score and the place in the document (words start to end), for
     every pair of a document and an item that reaches the threshold."""
     item = stage(item_grams(items), "items")
-    grams = item.select("item_id", F.explode("grams").alias("gram"))
-    found = stage(passages(docs, bit_map(grams)).withColumn("passage_id", F.monotonically_increasing_id()), "passages")
+    grams = (item.select("item_id", F.size("item").alias("length"), F.explode("grams").alias("gram"))
+             .groupBy("item_id", "length", "gram").agg(F.count("*").alias("times")))
+    reach = reaches(item, threshold)
+    found = stage(passages(docs, bit_map(grams), reach).withColumn("passage_id", F.monotonically_increasing_id()), "passages")
     hits = found.select("passage_id", F.explode("grams").alias("gram"))
-    counts = hits.groupBy("gram").agg(F.count("*").alias("held"))
-    order = Window.partitionBy("item_id").orderBy("held", "gram")
-    seeds = (grams.join(counts, "gram").withColumn("place", F.row_number().over(order))
-             .withColumn("all", F.count("*").over(Window.partitionBy("item_id")))
-             .filter("2 * place <= all + 1").select("item_id", "gram"))
-    pairs = hits.join(seeds, "gram").select("passage_id", "item_id").distinct()
+    least = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.col("length") - 1e-9) - 1)
+    pairs = (hits.join(grams, "gram").groupBy("passage_id", "item_id", "length").agg(F.sum("times").alias("shared"))
+             .filter(F.col("shared") >= least).select("passage_id", "item_id").distinct())
     both = (pairs.join(found.select("passage_id", "doc_id", "start", "passage"), "passage_id")
             .join(item.select("item_id", "item"), "item_id"))
 
