@@ -11,8 +11,14 @@ candidates, and their inner products with the query are computed in double preci
 
 The radius is the quantile SHARE of the distances among sampled vectors, so it follows
 the data, and all rows within it are candidates: there is no cap, and a group of near
-copies is inside or outside as a whole. Every row is indexed. Rows and queries are
-dealt into blocks of bounded size, and each pair of blocks is one task.
+copies is inside or outside as a whole. One radius does not fit every query, so each
+query also ranks the rows by footrule for itself: of each block, the share SHARE nearest
+to it and at least CANDIDATES rows, with all that tie with the last, are candidates, too.
+Tables of up to CANDIDATES rows are compared whole, and no query goes short. Pivot orders
+tell directions but not lengths, which inner products follow as well: rows are ranked
+among those of their own length, up to a factor of STEP, so long ones get their turn.
+Every row is indexed. Rows and queries are dealt into blocks of bounded size, and each
+pair of blocks is one task.
 
 Vectors that are null, zero or of another length than most, hold null or non-finite
 components, or have a null id take no part. Rows that repeat an id are candidates of
@@ -32,6 +38,8 @@ from relay.session import ship, stage
 PIVOTS = 192
 PREFIX = 128
 SHARE = 0.25
+CANDIDATES = 1024
+STEP = 1.25
 SAMPLE = 2000
 ROW_BLOCK = 8192
 QUERY_BLOCK = 2048
@@ -84,6 +92,27 @@ def radius(sample: np.ndarray, pivots: np.ndarray, share: float) -> float:
     return float(np.quantile(values, 1 - share)) if len(values) else 0.0
 
 
+def by_length(vectors: np.ndarray) -> list[np.ndarray]:
+    """Rows of a block by classes of their lengths."""
+    length = np.maximum(np.linalg.norm(vectors, axis=1), np.finfo(float).tiny)
+    # Classes are centred on length 1, so rounding does not split unit vectors.
+    kind = np.round(np.log(length) / np.log(STEP))
+    return [np.flatnonzero(kind == k) for k in np.unique(kind)]
+
+
+def candidates(agrees: np.ndarray, limit: float, classes: list[np.ndarray], share: float, spare: int) -> np.ndarray:
+    """Which rows of a block a query is compared with; `spare` rows have its own id."""
+    near = agrees >= limit
+    for rows in classes:
+        take = max(CANDIDATES, int(np.ceil(share * len(rows)))) + spare
+        if take >= len(rows):
+            near[rows] = True
+        else:
+            own = agrees[rows]
+            near[rows] |= own >= np.partition(own, len(own) - take)[len(own) - take]
+    return near
+
+
 def search(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", vector: str = "embedding",
            share: float = SHARE) -> DataFrame:
     """query_id, rank, vec_id and score of the k nearest rows found for every row that
@@ -119,8 +148,11 @@ def search(rows: DataFrame, queries: Column, k: int = 20, key: str = "vec_id", v
             ids, vectors = block["id"].to_numpy(), np.stack(block["v"].to_numpy())
             own = np.stack(asked["v"].to_numpy())
             files, orders = places(vectors, pivots), places(own, pivots)
+            classes = by_length(vectors)
             for i, query in enumerate(asked["id"].to_numpy()):
-                near = np.flatnonzero((agreement(orders[:, i], files, prefix) >= limit) & (ids != query))
+                others = ids != query
+                agrees = agreement(orders[:, i], files, prefix)
+                near = np.flatnonzero(candidates(agrees, limit, classes, share, np.count_nonzero(~others)) & others)
                 scores = vectors[near] @ own[i]
                 if len(near) > k:
                     # All that tie with the k-th stay; the smaller ids win.
