@@ -5,9 +5,10 @@
 2. Per host, the most frequent skeleton is the wrapper. Every other skeleton of the
    host is aligned with it by simple tree matching: the largest set of node pairs that
    keeps parents and the order of siblings.
-3. The texts of aligned slots are compared over all pages of a host by aggregates:
-   slots that hold the same text on all of at least CONSTANT_PAGES pages, while others
-   vary, are template; varying slots are content.
+3. The texts of aligned slots are counted over the distinct pages of a host by aggregates;
+   pages with the same blocks count once. A text that stands in its slot on MOST of the
+   pages that have the slot, on CONSTANT_PAGES pages at least and on HOST_SHARE of the
+   host, is template; all other texts are content.
 4. Content blocks are joined. Blocks inside navigation, headers, footers, asides,
    forms, scripts, adverts, notices or comments are no content by their markup,
    whether they vary or not; where a page marks an article or main part, only what is
@@ -36,6 +37,8 @@ from relay.llm import words
 from relay.session import ship, stage
 
 CONSTANT_PAGES = 3
+MOST = 0.9
+HOST_SHARE = 0.25
 
 # Elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -309,41 +312,53 @@ def read_pages(pages: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in words.slices(batch, "html"):
-                shapes, slots, texts, mains, offsets = [], [], [], [], [0]
+                shapes, slots, texts, hashes, offsets = [], [], [], [], [0]
+                contents, own_slots, own_texts, own_offsets = [], [], [], [0]
                 for page in part.column("html").to_pylist():
                     shape, found = read(page)
                     shapes.append(shape)
                     kept = [b for b in found if not b[2]]
+                    own: dict[tuple[int, int | None], None] = {}
                     for slot, text, _, main in [b for b in kept if b[3]] or kept:
                         slots.append(slot_id(slot))
                         texts.append(text)
-                        mains.append(main)
+                        hashes.append(xxhash.xxh64_intdigest(text) - (1 << 63))
+                        if not main:
+                            own[slots[-1], None] = own[slots[-1], hashes[-1]] = None
+                    contents.append(xxhash.xxh64_intdigest(repr((slots[offsets[-1]:], hashes[offsets[-1]:]))) - (1 << 63))
                     offsets.append(len(slots))
+                    own_slots += [x[0] for x in own]
+                    own_texts += [x[1] for x in own]
+                    own_offsets.append(len(own_slots))
                 blocks_ = pa.StructArray.from_arrays(
-                    [pa.array(slots, pa.int64()), pa.array(texts, pa.string()), pa.array(mains, pa.bool_())],
-                    ["slot", "text", "main"])
+                    [pa.array(slots, pa.int64()), pa.array(texts, pa.string()), pa.array(hashes, pa.int64())],
+                    ["slot", "text", "hash"])
+                seen = pa.StructArray.from_arrays(
+                    [pa.array(own_slots, pa.int64()), pa.array(own_texts, pa.int64())], ["slot", "text"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), part.column("host"), pa.array(shapes, pa.string()),
                      pa.array([slot_id(s) for s in shapes], pa.int64()),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), blocks_)],
-                    ["page_id", "url", "host", "shape", "shape_id", "blocks"])
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), blocks_), pa.array(contents, pa.int64()),
+                     pa.ListArray.from_arrays(pa.array(own_offsets, pa.int32()), seen)],
+                    ["page_id", "url", "host", "shape", "shape_id", "blocks", "content", "slots"])
 
     host = F.nullif(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
     return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
         run, "page_id long, url string, host string, shape string, shape_id long, "
-             "blocks array<struct<slot: long, text: string, main: boolean>>")
+             "blocks array<struct<slot: long, text: string, hash: long>>, content long, "
+             "slots array<struct<slot: long, text: long>>")
 
 
 def facts(found: DataFrame) -> DataFrame:
-    """What the wrappers are induced from, without texts: host, skeleton, and the slots
-    outside marked main parts with hashes of their texts."""
-    free = F.filter("blocks", lambda b: ~b["main"])
-    return found.filter("host IS NOT NULL").select("host", "shape_id", "shape", F.transform(
-        free, lambda b: F.struct(b["slot"].alias("slot"), F.xxhash64(b["text"]).alias("text"))).alias("slots"))
+    """What the wrappers are induced from, for every distinct page of a host: skeleton, the
+    slots it has (text null), and the hashes of the texts in them, each once."""
+    return (found.filter("host IS NOT NULL").groupBy("host", "shape_id", "content")
+            .agg(F.any_value("shape").alias("shape"), F.any_value("slots").alias("slots"))
+            .select("host", "shape_id", "shape", "slots"))
 
 
 def templates(known: DataFrame) -> DataFrame:
-    """host, shape_id and the slots that are template in pages of that skeleton, from a
+    """host, shape_id and the texts by slot that are template in pages of that skeleton, from a
     stored table of facts."""
     shapes = known.groupBy("host", "shape_id").agg(F.count("*").alias("pages"), F.min("shape").alias("shape"))
     wrapper = shapes.groupBy("host").agg(
@@ -366,16 +381,16 @@ def templates(known: DataFrame) -> DataFrame:
     aligned = pairs.mapInArrow(run, "host string, shape_id long, slot long, same long")
     texts = known.select("host", "shape_id", F.explode("slots").alias("b")).select("host", "shape_id", "b.slot", "b.text")
     # Counts come first per skeleton, then per aligned slot; both combine before the shuffle.
-    each = texts.groupBy("host", "shape_id", "slot").agg(
-        F.min("text").alias("low"), F.max("text").alias("high"), F.count("*").alias("n"))
+    each = texts.groupBy("host", "shape_id", "slot", "text").agg(F.count("*").alias("n"))
     each = each.join(aligned, ["host", "shape_id", "slot"])
-    same = each.groupBy("host", "same").agg(
-        F.min("low").alias("low"), F.max("high").alias("high"), F.sum("n").alias("n"))
-    varies = same.groupBy("host").agg(F.max((F.col("low") != F.col("high")).cast("int")).alias("varies"))
-    constant = (same.join(varies, "host").filter(f"low = high AND varies = 1 AND n >= {CONSTANT_PAGES}")
-                .select("host", "same"))
-    return (each.join(constant, ["host", "same"]).groupBy("host", "shape_id")
-            .agg(F.collect_set("slot").alias("template")))
+    same = each.groupBy("host", "same", "text").agg(F.sum("n").alias("n"))
+    have = same.filter("text IS NULL").select("host", "same", F.col("n").alias("have"))
+    total = shapes.groupBy("host").agg(F.sum("pages").alias("total"))
+    constant = (same.filter(f"text IS NOT NULL AND n >= {CONSTANT_PAGES}").join(have, ["host", "same"])
+                .filter(f"n >= {MOST} * have").join(total, "host").filter(f"n >= {HOST_SHARE} * total")
+                .select("host", "same", "text"))
+    return (aligned.join(constant, ["host", "same"]).groupBy("host", "shape_id")
+            .agg(F.collect_set(F.struct("slot", "text")).alias("template")))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -384,7 +399,8 @@ def extract(pages: DataFrame) -> DataFrame:
     # Pages are read twice: to induce the wrappers, and to take the content out.
     template = stage(templates(stage(facts(found), "page-facts")), "wrappers").select(
         F.col("host").alias("_host"), F.col("shape_id").alias("_shape"), "template")
-    content = F.filter("blocks", lambda b: b["main"] | F.coalesce(~F.array_contains("template", b["slot"]), F.lit(True)))
+    own = lambda b: F.struct(b["slot"].alias("slot"), b["hash"].alias("text"))
+    content = F.filter("blocks", lambda b: F.coalesce(~F.array_contains("template", own(b)), F.lit(True)))
     return (found.select("page_id", "url", "host", "shape_id", "blocks")
             .join(template, (F.col("host") == F.col("_host")) & (F.col("shape_id") == F.col("_shape")), "left")
             .select("page_id", "url", F.array_join(F.transform(content, lambda b: b["text"]), "\n").alias("text")))
