@@ -8,11 +8,12 @@
 3. The texts of aligned slots are counted over the distinct pages of a host by aggregates;
    pages with the same blocks count once. A text that stands in its slot on MOST of the
    pages that have the slot, on CONSTANT_PAGES pages at least and on HOST_SHARE of the
-   host, is template; all other texts are content.
+   host, is template; all other texts are content. In marked main parts a text must stand
+   on MAIN_PAGES pages and MAIN_SHARE of the host, and headings are never template.
 4. Content blocks are joined. Blocks inside navigation, headers, footers, asides,
    forms, scripts, adverts, notices or comments are no content by their markup,
    whether they vary or not; where a page marks an article or main part, only what is
-   in there is content, and it is not taken for template.
+   in there can be content.
 
 Broken markup is read as browsers do: missing end tags are implied, stray ones are
 left out, scripts and styles end at their own end tag. A null or empty page has an
@@ -39,6 +40,10 @@ from relay.session import ship, stage
 CONSTANT_PAGES = 3
 MOST = 0.9
 HOST_SHARE = 0.25
+MAIN_PAGES = 5
+MAIN_SHARE = 0.5
+
+HEADING = re.compile(r"/h[1-6](?![a-z0-9])[^/]*$")
 
 # Elements of HTML by what they do.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -313,28 +318,30 @@ def read_pages(pages: DataFrame) -> DataFrame:
         for batch in batches:
             for part in words.slices(batch, "html"):
                 shapes, slots, texts, hashes, offsets = [], [], [], [], [0]
-                contents, own_slots, own_texts, own_offsets = [], [], [], [0]
+                contents, own_slots, own_texts, own_mains, own_offsets = [], [], [], [], [0]
                 for page in part.column("html").to_pylist():
                     shape, found = read(page)
                     shapes.append(shape)
                     kept = [b for b in found if not b[2]]
-                    own: dict[tuple[int, int | None], None] = {}
+                    own: dict[tuple[int, int | None, bool], None] = {}
                     for slot, text, _, main in [b for b in kept if b[3]] or kept:
                         slots.append(slot_id(slot))
                         texts.append(text)
                         hashes.append(xxhash.xxh64_intdigest(text) - (1 << 63))
-                        if not main:
-                            own[slots[-1], None] = own[slots[-1], hashes[-1]] = None
+                        if not (main and HEADING.search(slot)):
+                            own[slots[-1], None, main] = own[slots[-1], hashes[-1], main] = None
                     contents.append(xxhash.xxh64_intdigest(repr((slots[offsets[-1]:], hashes[offsets[-1]:]))) - (1 << 63))
                     offsets.append(len(slots))
                     own_slots += [x[0] for x in own]
                     own_texts += [x[1] for x in own]
+                    own_mains += [x[2] for x in own]
                     own_offsets.append(len(own_slots))
                 blocks_ = pa.StructArray.from_arrays(
                     [pa.array(slots, pa.int64()), pa.array(texts, pa.string()), pa.array(hashes, pa.int64())],
                     ["slot", "text", "hash"])
                 seen = pa.StructArray.from_arrays(
-                    [pa.array(own_slots, pa.int64()), pa.array(own_texts, pa.int64())], ["slot", "text"])
+                    [pa.array(own_slots, pa.int64()), pa.array(own_texts, pa.int64()), pa.array(own_mains, pa.bool_())],
+                    ["slot", "text", "main"])
                 yield pa.RecordBatch.from_arrays(
                     [part.column("page_id"), part.column("url"), part.column("host"), pa.array(shapes, pa.string()),
                      pa.array([slot_id(s) for s in shapes], pa.int64()),
@@ -346,7 +353,7 @@ def read_pages(pages: DataFrame) -> DataFrame:
     return pages.select("page_id", "url", host.alias("host"), "html").mapInArrow(
         run, "page_id long, url string, host string, shape string, shape_id long, "
              "blocks array<struct<slot: long, text: string, hash: long>>, content long, "
-             "slots array<struct<slot: long, text: long>>")
+             "slots array<struct<slot: long, text: long, main: boolean>>")
 
 
 def facts(found: DataFrame) -> DataFrame:
@@ -379,15 +386,17 @@ def templates(known: DataFrame) -> DataFrame:
                 ["host", "shape_id", "slot", "same"])
 
     aligned = pairs.mapInArrow(run, "host string, shape_id long, slot long, same long")
-    texts = known.select("host", "shape_id", F.explode("slots").alias("b")).select("host", "shape_id", "b.slot", "b.text")
+    texts = known.select("host", "shape_id", F.explode("slots").alias("b")).select(
+        "host", "shape_id", "b.slot", "b.text", "b.main")
     # Counts come first per skeleton, then per aligned slot; both combine before the shuffle.
-    each = texts.groupBy("host", "shape_id", "slot", "text").agg(F.count("*").alias("n"))
+    each = texts.groupBy("host", "shape_id", "slot", "text").agg(F.count("*").alias("n"), F.max("main").alias("main"))
     each = each.join(aligned, ["host", "shape_id", "slot"])
-    same = each.groupBy("host", "same", "text").agg(F.sum("n").alias("n"))
+    same = each.groupBy("host", "same", "text").agg(F.sum("n").alias("n"), F.max("main").alias("main"))
     have = same.filter("text IS NULL").select("host", "same", F.col("n").alias("have"))
     total = shapes.groupBy("host").agg(F.sum("pages").alias("total"))
     constant = (same.filter(f"text IS NOT NULL AND n >= {CONSTANT_PAGES}").join(have, ["host", "same"])
-                .filter(f"n >= {MOST} * have").join(total, "host").filter(f"n >= {HOST_SHARE} * total")
+                .filter(f"n >= {MOST} * have").join(total, "host")
+                .filter(f"n >= {HOST_SHARE} * total AND (NOT main OR n >= {MAIN_PAGES} AND n >= {MAIN_SHARE} * total)")
                 .select("host", "same", "text"))
     return (aligned.join(constant, ["host", "same"]).groupBy("host", "shape_id")
             .agg(F.collect_set(F.struct("slot", "text")).alias("template")))
