@@ -26,6 +26,7 @@ from __future__ import annotations
 
 import math
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -49,6 +50,11 @@ WORD = re.compile(r"[^\W_]+(?:[@$!][^\W_]+)*")
 KINDS = ("exact", "misspelled", "exact quoted", "misspelled quoted")
 
 
+MARKS = re.compile("[\"«»“”„]")
+CLOSING = {'"': '"', "„": "“”", "“": "”", "«": "»", "»": "«"}
+QUOTED_WORDS = 60
+
+
 class Automaton:
     """All words within one edit of a term, as a deterministic automaton made lazily."""
 
@@ -153,13 +159,25 @@ class Matcher:
         return [(m.start(), i, *known[m[0]]) for i, m in enumerate(WORD.finditer(low)) if known[m[0]]]
 
 
-def quoted(text: str, at: int) -> bool:
-    """Is a place inside quotation marks of its line?"""
-    line = text.rfind("\n", 0, at) + 1
-    before = text[line:at]
-    if before.count('"') % 2 == 1:
-        return True
-    return max(before.rfind("«"), before.rfind("“"), before.rfind("„")) > max(before.rfind("»"), before.rfind("”"))
+def quotations(text: str) -> list[tuple[int, int]]:
+    """Places between two marks that belong together, on one line and at most
+    QUOTED_WORDS words apart. A mark without its other end quotes nothing."""
+    out: list[tuple[int, int]] = []
+    begin = 0
+    for line in text.split("\n"):
+        opened: list[tuple[int, str]] = []
+        for m in MARKS.finditer(line):
+            at, mark = m.start(), m[0]
+            opens = mark == '"' and line[at - 1:at].isspace() and line[at + 1:at + 2].isalnum()
+            fits = [k for k, (_, other) in enumerate(opened) if mark in CLOSING[other] and not opens]
+            if fits and len(WORD.findall(line[opened[fits[-1]][0] + 1:at])) <= QUOTED_WORDS:
+                out.append((begin + opened[fits[-1]][0], begin + at))
+                del opened[fits[-1]:]
+            # Inches, and marks at the end of words, open nothing.
+            elif mark in CLOSING and not (mark in "\"«»" and at and line[at - 1].isalnum()):
+                opened = [*opened[-7:], (at, mark)]
+        begin += len(line) + 1
+    return out
 
 
 def cited(tokens: list[str], number: int, citing: frozenset[str]) -> bool:
@@ -171,11 +189,18 @@ def kinds(text: str, matcher: Matcher, citing: frozenset[str]) -> list[str]:
     if not hits:
         return []
     low = text.lower()
+    spans: list[tuple[int, int]] = []
+    for span in sorted(quotations(low)):  # one inside of another adds nothing
+        if not spans or span[0] > spans[-1][1]:
+            spans.append(span)
+    begins = [a for a, _ in spans]
     tokens = WORD.findall(low) if citing else []
     out = []
     for at, number, _, errors in hits:
         kind = "misspelled" if errors else "exact"
-        out.append(kind + " quoted" if quoted(low, at) or citing and cited(tokens, number, citing) else kind)
+        inside = bisect_right(begins, at)
+        quoted = inside > 0 and at < spans[inside - 1][1]
+        out.append(kind + " quoted" if quoted or citing and cited(tokens, number, citing) else kind)
     return out
 
 
