@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, lines, near_copies, packing, permutation_index, quality, sharding, structure, toxicity, wrappers
+from relay.llm import decontamination, licenses, lines, near_copies, packing, permutation_index, prefix_trie, quality, sharding, structure, toxicity, wrappers
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -79,6 +79,11 @@ def op10_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wrappers.extract(table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of all first turns of the rebuilt conversations."""
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Faults and cheapest repair of every conversation, after the damage of the contract."""
     conversations = table(spark, sf_dir, "conversations")
@@ -89,7 +94,7 @@ def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_lines": op3_lines, "op4_decontamination": op4_decontamination,
             "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
             "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding, "op10_wrappers": op10_wrappers,
-            "op12_structure": op12_structure}
+            "op11_prefix_trie": op11_prefix_trie, "op12_structure": op12_structure}
 
 
 # Lines as sets of 5-word shingles, classes of equal sets by their first line, and all

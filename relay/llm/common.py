@@ -12,6 +12,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def said(role: str, text: str) -> Column:
+    """A digest of 32 bytes that is equal for equal (role, text)."""
+    return F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), F.col(role), F.col(text)), 256))
+
+
 def number_within(df: DataFrame, groups: list[str], row: str, name: str) -> DataFrame:
     """Add `name`: the rows of each group numbered from 0 without gaps.
 

@@ -34,6 +34,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from relay.llm.common import said
 from relay.operators.positions import join_per_key
 from relay.session import ship, stage
 
@@ -148,11 +149,6 @@ FAULTS = {"blank": "b", "duplicate": "d", "truncated": "t", "": "-"}
 COUNTED = ["blank", "duplicate", "truncated", "illegal"]
 
 
-def said(role: str, text: str) -> Column:
-    """A digest that is equal for equal (role, text)."""
-    return F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), F.col(role), F.col(text)), 256))
-
-
 def _ordered(rows: DataFrame) -> list[Column]:
     return [F.col("turn").asc_nulls_first(), F.col("role").asc(), F.col("said").asc()]
 
