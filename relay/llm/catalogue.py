@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from relay.llm import decontamination, licenses, lines, near_copies, packing, permutation_index, prefix_trie, quality, sharding, structure, toxicity, wrappers
+from relay.llm import decontamination, licenses, lines, near_copies, packing, permutation_index, prefix_trie, quality, sharding, structure, toxicity, vector_copies, wrappers
 from relay.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,11 +90,17 @@ def op12_structure(spark: SparkSession, sf_dir: str) -> DataFrame:
     return structure.repair(structure.damaged(conversations), conversations)
 
 
+def op13_vector_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The group of near copies of every vector."""
+    return vector_copies.groups(table(spark, sf_dir, "embeddings"))
+
+
 def queries() -> dict[str, Query]:
     return {"op1_toxicity": op1_toxicity, "op2_quality": op2_quality, "op3_lines": op3_lines, "op4_decontamination": op4_decontamination,
             "op5_packing": op5_packing, "op6_licenses": op6_licenses, "op7_near_copies": op7_near_copies, 
             "op8_permutation_index": op8_permutation_index, "op9_sharding": op9_sharding, "op10_wrappers": op10_wrappers,
-            "op11_prefix_trie": op11_prefix_trie, "op12_structure": op12_structure}
+            "op11_prefix_trie": op11_prefix_trie, "op12_structure": op12_structure,
+            "op13_vector_copies": op13_vector_copies}
 
 
 # Lines as sets of 5-word shingles, classes of equal sets by their first line, and all
