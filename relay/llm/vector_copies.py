@@ -166,16 +166,13 @@ def _coder(bits: int, tables: int):
     return code
 
 
-def _cosine(a: str, b: str) -> Column:
-    """The cosine of two array columns, in double precision."""
+def _cosine(a: str, top_a: str, b: str, top_b: str) -> Column:
+    """The cosine of two array columns, given their largest magnitudes, in double precision."""
     def dot(x: Column, y: Column) -> Column:
         return F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, p: s + p)
 
-    def scaled_to_one(c: str) -> Column:
-        return F.transform(c, lambda x: x / F.array_max(F.transform(c, F.abs)))
-
-    scaled = scaled_to_one(a), scaled_to_one(b)
-    return dot(*scaled) / F.sqrt(dot(scaled[0], scaled[0])) / F.sqrt(dot(scaled[1], scaled[1]))
+    x, y = F.transform(a, lambda v: v / F.col(top_a)), F.transform(b, lambda v: v / F.col(top_b))
+    return dot(x, y) / F.sqrt(dot(x, x)) / F.sqrt(dot(y, y))
 
 
 def balls(codes: DataFrame, classes: DataFrame, link: float) -> DataFrame:
@@ -192,17 +189,19 @@ def balls(codes: DataFrame, classes: DataFrame, link: float) -> DataFrame:
         "rows > 1").drop("rows")
     lead = join_per_key(shared, least, ["size", "t", "key"], "id", salts=SALTS).groupBy("k", "id").agg(
         F.min("first").alias("first")).filter(F.col("first") < me)
-    vector = classes.select(F.col("k").alias("centre"), F.col("v").alias("centre_v"))
+    vectors = classes.select("k", "v", "top")
 
     def near(pairs: DataFrame, least_cosine: float) -> DataFrame:
-        both = join_per_key(pairs, vector, ["centre"], "id", salts=SALTS).join(classes.select("k", "v"), "k")
-        return both.filter(_cosine("v", "centre_v") >= least_cosine).select(*pairs.columns)
+        centres = pairs.select(F.col("centre").alias("k")).distinct().join(vectors, "k").select(
+            F.col("k").alias("centre"), F.col("v").alias("centre_v"), F.col("top").alias("centre_top"))
+        both = join_per_key(pairs, centres, ["centre"], "id", salts=SALTS).join(vectors, "k")
+        return both.filter(_cosine("v", "top", "centre_v", "centre_top") >= least_cosine).select(*pairs.columns)
 
-    first = stage(near(lead.select("k", "id", F.col("first.k").alias("centre"), F.col("first.id").alias("centre_id")),
-                       link), "centres")
+    lead = stage(lead.select("k", "id", F.col("first.k").alias("centre"), F.col("first.id").alias("centre_id")), "leads")
+    first = stage(near(lead, link), "centres")
     second = first.select(F.col("k").alias("centre"), F.col("centre").alias("c2"), F.col("centre_id").alias("c2_id"))
-    hops = join_per_key(first, second, ["centre"], "id", "left", salts=SALTS).select(
-        "k", "id", F.coalesce("c2", "centre").alias("centre"), F.coalesce("c2_id", "centre_id").alias("centre_id"))
+    hops = stage(join_per_key(first, second, ["centre"], "id", "left", salts=SALTS).select(
+        "k", "id", F.coalesce("c2", "centre").alias("centre"), F.coalesce("c2_id", "centre_id").alias("centre_id")), "hops")
     return near(hops, half).select("k", F.col("centre").alias("ball"), "centre_id")
 
 
@@ -351,8 +350,8 @@ def groups(rows: DataFrame, key: str = "vec_id", vector: str = "embedding", link
     joins = usable(given, "v") & F.col("id").isNotNull()
     named = stage(given.filter(joins).select("id", F.transform("v", lambda x: x.cast("double")).alias("v"))
                   .mapInArrow(_name, "id long, k binary, v array<double>"), "vectors")
-    classes = stage(named.groupBy("k").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v")),
-                    "classes")
+    classes = named.groupBy("k").agg(F.min("id").alias("id"), F.count("*").alias("n"), F.first("v").alias("v"))
+    classes = stage(classes.withColumn("top", F.array_max(F.transform("v", F.abs))), "classes")
     bits, tables = plan(classes.count(), link)
     codes = stage(classes.select("k", "id", "n", "v").mapInArrow(_coder(bits, tables), CODES), "codes")
     in_balls = stage(balls(codes, classes, link), "balls")
