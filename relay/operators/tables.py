@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from relay.functions import status
 from relay.functions.json_values import computed_once, key_path, leaf, parse_object, typed
 from relay.operators.positions import SLOT_WIDTH, number_rows
+from relay.session import stage
 from relay.sources.envelope import POSITION
 
 
@@ -44,6 +45,11 @@ def _schema(columns: Sequence[str] | Mapping[str, str]) -> dict[str, str]:
     return {name: types[name] for name in sorted(types)}
 
 
+def typed_columns(columns: Sequence[str] | Mapping[str, str]) -> list[Column]:
+    """The top-level keys of `message` as columns, sorted by name."""
+    return [typed("message", key_path(name), type_name).alias(name) for name, type_name in _schema(columns).items()]
+
+
 def json_to_columns(messages: DataFrame, columns: Sequence[str] | Mapping[str, str],
                     keep: Sequence[str] = POSITION) -> DataFrame:
     """Top-level keys as table columns, sorted by name.
@@ -51,61 +57,79 @@ def json_to_columns(messages: DataFrame, columns: Sequence[str] | Mapping[str, s
     `columns` gives names (text columns) or names with types. A table cannot have
     columns that only the data tell: see `json_to_rows` for those.
     """
-    schema = _schema(columns)
-    return messages.select(*keep, *[
-        typed("message", key_path(name), type_name).alias(name)
-        for name, type_name in schema.items()])
+    return messages.select(*keep, *typed_columns(columns))
 
 
 def _position() -> Column:
     return F.struct("partition", "offset")
 
 
-def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column:
-    return reduce(lambda a, b: a & b, [left[k] == right[k] for k in keys])
+def _any_null(keys: Sequence[str]) -> Column:
+    return reduce(lambda a, b: a | b, [F.col(k).isNull() for k in keys])
 
 
-def keyed_insert(rows: DataFrame, keys: Sequence[str],
-                 target: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """(inserted, duplicates) of rows that carry their envelope position.
+def keyed_flags(rows: DataFrame, keys: Sequence[str], target: DataFrame | None = None,
+                position: Sequence[str] = POSITION) -> DataFrame:
+    """Rows with `won`: the first of their key, unless the target has the key.
 
-    The first row of a key wins unless the target has the key. Winners are found
-    by a combined aggregate and joined back on the position, which is unique, so
-    a hot key does not gather in one task. Rows without a key are duplicates of
-    none: they go in, as SQL treats NULLs as distinct.
+    Winners are found by a combined aggregate and joined back on the position, which
+    is unique, so a hot key does not gather in one task. Rows without a key are
+    duplicates of none: they win, as SQL treats NULLs as distinct.
     """
-    keyed = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-    winners = (rows.filter(keyed).groupBy(*keys)
-               .agg(F.min(F.struct("topic", "partition", "offset")).alias("_first")))
+    place = F.struct(*[F.col(c).alias(f"_{i}") for i, c in enumerate(position)])
+    winners = rows.filter(~_any_null(keys)).groupBy(*keys).agg(F.min(place).alias("_first"))
     if target is not None:
         winners = winners.join(target.select(*keys), list(keys), "left_anti")
-    winners = winners.select("_first.*").withColumn("_won", F.lit(True))
-    marked = rows.join(winners, POSITION, "left").withColumn(
-        "_won", F.col("_won").isNotNull() | ~keyed)
-    duplicates = marked.filter(~F.col("_won")).drop("_won").withColumns({
+    winners = winners.select(*[F.col(f"_first._{i}").alias(c) for i, c in enumerate(position)],
+                             F.lit(True).alias("won"))
+    return rows.join(winners, list(position), "left").withColumn(
+        "won", F.col("won").isNotNull() | _any_null(keys)).select(*rows.columns, "won")
+
+
+def duplicate_key(rows: DataFrame) -> DataFrame:
+    """Rows with the error of a key that is there already."""
+    return rows.withColumns({
         "error_type": F.lit(status.SINK_4XX),
         "status_code": F.lit(409),
         "error_message": F.lit("duplicate key"),
         "retried": F.lit(True),
     })
-    return marked.filter("_won").select(*rows.columns), duplicates.select(
-        *rows.columns, "error_type", "status_code", "error_message", "retried")
+
+
+def keyed_insert(rows: DataFrame, keys: Sequence[str],
+                 target: DataFrame | None = None, staged: bool = True) -> tuple[DataFrame, DataFrame]:
+    """(inserted, duplicates) of rows that carry their envelope position, by
+    `keyed_flags`. The flagged rows are written once to the shared folder, so what is
+    upstream is not computed for each half."""
+    flags = keyed_flags(rows, keys, target)
+    if staged:
+        flags = stage(flags, "keyed")
+    return (flags.filter("won").select(*rows.columns),
+            duplicate_key(flags.filter("NOT won").select(*rows.columns)))
 
 
 def latest_columns(messages: DataFrame, keys: Sequence[str],
-                   columns: Sequence[str] | Mapping[str, str]) -> DataFrame:
+                   columns: Sequence[str] | Mapping[str, str], alone: str | None = None) -> DataFrame:
     """Per key and column the last value given: a struct, NULL where no message
-    of the key has the column, holding NULL for an explicit JSON null."""
+    of the key has the column, holding NULL for an explicit JSON null.
+
+    With `alone` messages in which a key is missing or null stay rows of their own,
+    told apart by their position in that column; the others have NULL there.
+    """
     schema = _schema(columns)
     values = {n: t for n, t in schema.items() if n not in keys}
     flat = messages.select(
         *[typed("message", key_path(k), schema[k]).alias(k) for k in keys],
-        _position().alias("_at"),
+        _position().alias("_at"), F.concat_ws("/", *[c for c in POSITION if c in messages.columns]).alias("_place"),
         *[F.when(leaf("message", key_path(n)).isNotNull(),
                  F.struct(typed("message", key_path(n), t).alias("value"))).alias(n)
           for n, t in values.items()])
-    return flat.groupBy(*keys).agg(*[
-        F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col("_at"))).alias(n) for n in values])
+    groups = list(keys)
+    if alone:
+        flat = flat.withColumn(alone, F.when(_any_null(keys) if keys else F.lit(True), F.col("_place")))
+        groups.append(alone)
+    newest = [F.max_by(F.col(n), F.when(F.col(n).isNotNull(), F.col("_at"))).alias(n) for n in values]
+    return flat.groupBy(*groups).agg(*newest) if newest else flat.select(*groups).distinct()
 
 
 def keyed_upsert(target: DataFrame | None, messages: DataFrame, keys: Sequence[str] | None,
@@ -120,17 +144,15 @@ def keyed_upsert(target: DataFrame | None, messages: DataFrame, keys: Sequence[s
     if not keys:
         added = json_to_columns(messages, schema, keep=[])
         return added if target is None else target.select(*schema).unionByName(added)
-    whole = reduce(lambda a, b: a & b, [typed("message", key_path(k), schema[k]).isNotNull() for k in keys])
-    latest = latest_columns(messages.filter(whole), keys, schema)
-    alone = json_to_columns(messages.filter(~whole), schema, keep=[])
+    latest = latest_columns(messages, keys, schema, alone="_alone").drop("_alone")
     values = [n for n in schema if n not in keys]
     if target is None:
-        return latest.select(*keys, *[F.col(n)["value"].alias(n) for n in values]).unionByName(alone)
+        return latest.select(*keys, *[F.col(n)["value"].alias(n) for n in values])
     old = target.select(*keys, *[F.col(n).alias(f"_old_{n}") for n in values])
     return latest.join(old, list(keys), "full_outer").select(
         *keys,
         *[F.when(F.col(n).isNotNull(), F.col(n)["value"]).otherwise(F.col(f"_old_{n}")).alias(n)
-          for n in values]).unionByName(alone)
+          for n in values])
 
 
 def materialize_keyvalue(messages: DataFrame, store_key: Column,

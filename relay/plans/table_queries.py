@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 from pyspark.sql import functions as F
 
@@ -10,9 +11,11 @@ from relay.functions import status
 from relay.functions.keys import build_key, hash_field, ttl_expiry
 from relay.operators import breaker, ledger, metrics, routing, tables
 from relay.plans import topics
-from relay.plans.registry import query
+from relay.plans.registry import CHECKS, query
 from relay.plans.topics_sql import ATTEMPTS, EVENTS, KEYED, LEDGER, OUTCOMES, PARSED, action, sql
 from relay.session import shared_dir
+from relay.streaming.keyed import KeyedTable
+from relay.streaming.stores import Stores
 
 POS = ["topic", "partition", "offset"]
 POS_SQL = 'topic, "partition", "offset"'
@@ -123,6 +126,52 @@ def keyed_upsert_without_keys(spark, sf):
                                {"customer": "bigint", "order": "bigint"})
 
 
+def _micro_batches(rows, count=4):
+    """Rows in order of offsets, in parts, with their numbers."""
+    last = rows.agg(F.max("offset")).first()[0] or 0
+    for number in range(count):
+        low, high = last * number // count, last * (number + 1) // count
+        yield number, rows.filter((F.col("offset") > low) & (F.col("offset") <= high) if number
+                                  else F.col("offset") <= high)
+
+
+def _stored_table(spark, name, keys, target):
+    table = KeyedTable(Stores(spark, f"{shared_dir(spark)}/relay-{name}-{uuid.uuid4().hex}"), name, keys, TYPES,
+                       buckets=16, deltas=2, keep=8)
+    table.load(target)
+    return table
+
+
+# The same result as merging all messages at once, from four micro-batches and a replay.
+@query("keyed_sink_merge", CHECKS["keyed_upsert"])
+def keyed_sink_merge(spark, sf):
+    table = _stored_table(spark, "merge", ["customer"], topics.table(spark, sf, "customer").select(
+        F.col("c_custkey").alias("customer"), F.lit(None).cast("bigint").alias("order"),
+        F.col("c_mktsegment").alias("status"), F.col("c_acctbal").alias("amount")))
+    for number, part in _micro_batches(_keyed(spark, sf)):
+        table.upsert(part, number)
+        table.upsert(part, number)
+    return table.read().select("customer", "order", "status", "amount")
+
+
+@query("keyed_sink_insert", INSERT_SQL)
+def keyed_sink_insert(spark, sf):
+    table = _stored_table(spark, "insert", ["customer"], topics.table(spark, sf, "customer").filter(
+        "c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer"), *[
+            F.lit(None).cast(t).alias(n) for n, t in TYPES.items() if n != "customer"]))
+    halves = []
+    for number, part in _micro_batches(_keyed(spark, sf)):
+        refused = table.insert(part, number)
+        customer = F.expr("CAST(get_json_object(CAST(value AS STRING), '$.customer') AS BIGINT)")
+        halves.append(refused.select(*POS, customer.alias("customer"), F.lit("duplicate").alias("half"), "status_code"))
+    # In this topic an order is its own offset and customers have partitions.
+    inserted = table.read().filter(F.col("order").isNotNull()).select(
+        F.lit("customers").alias("topic"), (F.col("customer") % 4).cast("int").alias("partition"),
+        F.col("order").alias("offset"), "customer", F.lit("inserted").alias("half"),
+        F.lit(None).cast("int").alias("status_code"))
+    return reduce(lambda a, b: a.unionByName(b), halves, inserted)
+
+
 KEY = """CASE WHEN "offset" % 2 = 0 THEN concat('customer:', CAST(value AS JSON)->>'$.customer')
   ELSE coalesce(key, concat('relay:', "offset")) END"""
 

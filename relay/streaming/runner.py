@@ -30,11 +30,14 @@ from relay.operators.filtering import check_boolean, make_filter
 from relay.operators.metrics import DROPPED, INVALID, REJECT, SENT
 from relay.session import configure
 from relay.sources.envelope import ENVELOPE, POSITION
+from relay.streaming.keyed import KeyedSink
 from relay.streaming.stores import Stores
 
 log = logging.getLogger(__name__)
 
 PLACE = ("chunk_no", "seq", "first_offset", "batch_id", "request_no", "request_id")
+FAILED = [*[f.name for f in ENVELOPE], "batch_id", "first_offset", "status_code", "error_message",
+          "error_type", "retried"]
 WORKING = ("classified", "outcomes", "failures", "retries", "deferred", "breaker")
 
 
@@ -91,8 +94,9 @@ class RelayOptions:
             raise ValueError("breaker threshold is a percentage, its window positive")
 
 
-def classify(messages: DataFrame, options: RelayOptions) -> DataFrame:
-    """Envelopes with `stage` (reject, invalid, dropped, sent) and `reason`.
+def classify(messages: DataFrame, options: RelayOptions, objects_only: bool = False) -> DataFrame:
+    """Envelopes with `stage` (reject, invalid, dropped, sent) and `reason`. With
+    `objects_only` payloads that are no JSON object are rejected in every mode.
 
     Row-local: one pass, the payload parsed once, no shuffle.
     """
@@ -119,7 +123,7 @@ def classify(messages: DataFrame, options: RelayOptions) -> DataFrame:
         passed = truthy(make_filter(spec, message="any_message" if by_path else "message",
                                     raw="value", df=rows))
     # What cannot stand in a body is a dead letter, never silently left out.
-    unusable = (F.col("message").isNull() if options.mode == "with_response"
+    unusable = (F.col("message").isNull() if objects_only or options.mode == "with_response"
                 else F.col("value").isNull() if options.mode == "batch" else F.lit(False))
 
     rows = computed_once(rows, "reason", reason)
@@ -132,10 +136,12 @@ class Relay:
     """Runs micro-batches: `process` is the function for `foreachBatch`.
 
     `dead_letter_writer(df, batch)` gets (key, value, headers) rows in addition
-    to the `dlq` table. `clock` and `sleep` are there for tests.
+    to the `dlq` table. `clock` and `sleep` are there for tests. A `KeyedSink` in place
+    of a transport keeps a table by key: refused rows are failures like those of any
+    sink, and payloads that are no JSON object dead letters.
     """
 
-    def __init__(self, stores: Stores, transport: delivery.Transport, options: RelayOptions,
+    def __init__(self, stores: Stores, transport: delivery.Transport | KeyedSink, options: RelayOptions,
                  dead_letter_writer: Callable[[DataFrame, int], Any] | None = None,
                  clock: Callable[[], float] = time.time,
                  sleep: Callable[[float], None] = time.sleep):
@@ -156,11 +162,15 @@ class Relay:
             stores.write("deferred", batch, messages)
             return
 
-        records = stores.write("classified", batch, self._placed(classify(messages, options)))
+        records = stores.write("classified", batch, self._placed(classify(
+            messages, options, objects_only=isinstance(self.transport, KeyedSink))))
         members = records.filter(F.col("stage") == SENT)
-        outcomes = stores.write_once("outcomes", batch, self._deliver(members))
-        failures = stores.write("failures", batch, routing.with_action(
-            self._failures(outcomes, members), options.ranges))
+        if isinstance(self.transport, KeyedSink):
+            outcomes, failed = self._merge(members, batch)
+        else:
+            outcomes = stores.write_once("outcomes", batch, self._deliver(members))
+            failed = self._failures(outcomes, members)
+        failures = stores.write("failures", batch, routing.with_action(failed, options.ranges))
         self._stop_on_fail(failures)
 
         retries = stores.write_once("retries", batch, self._retry(failures))
@@ -201,14 +211,27 @@ class Relay:
             return delivery.ordered_deliver(requests, self.transport)
         return delivery.deliver(requests, self.transport, options.concurrency, self._tasks)
 
+    def _merge(self, members: DataFrame, batch: int) -> tuple[DataFrame, DataFrame]:
+        """(outcomes, failures) of merging messages into a keyed table: one outcome per
+        batch, as the table takes a micro-batch whole or not at all."""
+        started = self.clock()
+        messages = computed_once(members, "message", parse("value"))
+        refused = self.transport.push(self.stores, messages, batch)
+        took = self.clock() - started
+        requests = members.groupBy("batch_id", "request_id").agg(
+            F.min("first_offset").alias("first_offset"), F.count("*").cast("int").alias("size"))
+        outcomes = requests.select(
+            F.lit(self.options.sink).alias("sink"), "batch_id", "request_id", "first_offset", "size",
+            F.lit(200).alias("status_code"), F.lit(None).cast("string").alias("response_body"),
+            F.lit(None).cast("string").alias("error"), F.lit(float(took)).alias("latency_s"))
+        return self.stores.write_once("outcomes", batch, outcomes), refused.select(*FAILED)
+
     def _failures(self, outcomes: DataFrame, members: DataFrame) -> DataFrame:
-        keep = [*[f.name for f in ENVELOPE], "batch_id", "first_offset", "status_code", "error_message",
-                "error_type", "retried"]
         if self.options.mode == "with_response":
             failed = responses.response_failures(outcomes, members, self.options.response)
         else:
             failed = delivery.expand_batch_failure(outcomes, members)
-        return failed.select(*keep)
+        return failed.select(*FAILED)
 
     def _stop_on_fail(self, failures: DataFrame) -> None:
         """Stop the query before its offsets are committed."""
@@ -219,6 +242,9 @@ class Relay:
 
     def _retry(self, failures: DataFrame) -> DataFrame:
         options = self.options
+        if isinstance(self.transport, KeyedSink):
+            return failures.filter(F.lit(False)).withColumns({
+                "attempts": F.array().cast(delivery.ATTEMPTS), "delivered": F.lit(False), "retried": F.lit(True)})
         return delivery.retry(
             failures.filter(F.col("action") == status.RETRY), self.transport, options.max_attempts,
             options.backoff_initial_ms, options.backoff_max_ms, options.backoff_multiplier,

@@ -28,10 +28,26 @@ class Stores:
         file, system = self._file(f"{self.path(table, batch)}/_SUCCESS")
         return system.exists(file)
 
+    def folders(self, path: str, label: str) -> list[int]:
+        """The numbers of the folders `label=<number>` under a path, sorted."""
+        file, system = self._file(f"{self.base}/{path}")
+        if not system.exists(file):
+            return []
+        names = [entry.getPath().getName() for entry in system.listStatus(file)]
+        return sorted(int(n.removeprefix(f"{label}=")) for n in names if n.startswith(f"{label}="))
+
+    def batches(self, table: str) -> list[int]:
+        """The complete micro-batches of a table."""
+        return [n for n in self.folders(table, "micro_batch") if self.complete(table, n)]
+
+    def remove(self, path: str) -> None:
+        """Remove a folder that nothing reads any more."""
+        file, system = self._file(f"{self.base}/{path}")
+        system.delete(file, True)
+
     def drop(self, table: str, batch: int) -> None:
         """Remove a micro-batch of a table that nothing reads any more."""
-        file, system = self._file(self.path(table, batch))
-        system.delete(file, True)
+        self.remove(f"{table}/micro_batch={batch}")
 
     def write(self, table: str, batch: int, df: DataFrame) -> DataFrame:
         """Replace a micro-batch of a table and read it back."""
