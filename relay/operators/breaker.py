@@ -2,10 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from relay.operators.positions import (
@@ -13,6 +12,7 @@ from relay.operators.positions import (
     join_per_key,
     number_rows,
     rolling,
+    running_max,
     running_sum,
 )
 from relay.session import stage
@@ -79,48 +79,94 @@ def breaker_with_reset(outcomes: DataFrame, reset_s: float, n: int = WINDOW,
                        at: str = "at_s", width: int = SLOT_WIDTH) -> DataFrame:
     """Breaker that closes and forgets its window once open for `reset_s`.
 
-    `at` is the time of an outcome in seconds. Adds `position`, `failures` and
-    `is_open`. Where n outcomes in a row have a rate below the limit the state
-    is closed and full, whatever came before. The outcomes between two such
-    stretches form an episode that needs no other rows; only their rows that can
-    open or clear the breaker go to Python, one group per (sink, episode), as a
-    stream of Arrow batches. The rolling counts are staged, as they are read twice.
+    `at` is the time of an outcome in seconds; a clock that goes back counts as standing
+    still. Adds `position`, `failures` and `is_open`.
+
+    Where the breaker opens depends on its own past, but what follows an opening does
+    not: each row at which it could open has one end (`openings`) and one row where it
+    opens next. The rows that are reached from a sink's first are marked by pointer
+    doubling: each round joins the marked rows with jumps twice as long, so a sink that
+    opens very often takes the logarithm of that in rounds, spread over all tasks.
+    """
+    steps = stage(openings(outcomes, reset_s, n, threshold, order, at, width), "openings")
+    states = steps.select(*outcomes.columns, "position", "failures")
+    edges = steps.filter("ends IS NOT NULL").select("sink", "position", "ends", "next")
+    opened = reached(edges, steps.filter("first").select("sink", "position"))
+    spans = opened.join(edges.select("sink", "position", "ends"), ["sink", "position"])
+    changes = spans.select("sink", "position", F.lit(1).alias("change")).unionByName(
+        spans.select("sink", F.col("ends").alias("position"), F.lit(-1).alias("change")))
+    changes = changes.groupBy("sink", "position").agg(F.sum("change").alias("_change"))
+    marked = states.join(changes, ["sink", "position"], "left")
+    return (running_sum(marked, ["sink"], ["position"], F.coalesce("_change", F.lit(0)), "_open", width)
+            .withColumn("is_open", F.col("_open") > 0).drop("_open", "_change"))
+
+
+def openings(outcomes: DataFrame, reset_s: float, n: int, threshold: int, order: Sequence[str],
+             at: str, width: int) -> DataFrame:
+    """Outcomes with `first` (the sink's first row at which the breaker opens) and, for
+    rows at which it could open, `ends` (the row at which it would close again) and
+    `next` (the next row at which it would open then, NULL if none).
+
+    A run is a stretch of rows with the limit reached. An opening ends at the first
+    row behind its run, or, after `reset_s`, at a row inside it or that row; then the next
+    opening is n - 1 rows later at least. The row of the reset is found by counting:
+    rows of a run follow each other, so it is the run's start plus the number of its
+    rows with an earlier time, counted in slots of time.
     """
-    hot = "_hot"
     states = stage(breaker_state(outcomes, n, threshold, order, width), "breaker")
-    states = states.withColumnRenamed("is_open", hot)
-    marked = rolling(states, ["sink"], "position", n, {
-        "_hot_before": lambda w: F.coalesce(
-            F.max(F.col(hot).cast("int")).over(w.rowsBetween(-n, -1)), F.lit(0)),
-        "_after_hot": lambda w: F.coalesce(F.lag(hot).over(w), F.lit(False)),
-    }, width)
-    starts = F.when(F.col(hot) & (F.col("_hot_before") == 0), 1).otherwise(0)
-    episodes = running_sum(marked, ["sink"], ["position"], starts, "_episode", width)
-    active = episodes.filter(F.col(hot) | F.col("_after_hot")).select(
-        "sink", "_episode", "position", F.col(at).cast("double").alias("at"), hot)
-
-    in_order = (active.repartition("sink", "_episode")
-                .sortWithinPartitions("sink", "_episode", "position"))
-
-    def replay(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        cleared_at, opened_at = -n, None
-        for frame in frames:
-            flags = []
-            for position, moment, is_hot in zip(frame["position"], frame["at"], frame[hot]):
-                if opened_at is not None and moment - opened_at >= reset_s:
-                    opened_at, cleared_at = None, position
-                if position - cleared_at + 1 >= n:
-                    if not is_hot:
-                        opened_at = None
-                    elif opened_at is None:
-                        opened_at = moment
-                flags.append(opened_at is not None)
-            yield frame[flags][["sink", "position"]].assign(is_open=True)
-
-    # The sort above already orders by the grouping columns first, so Spark adds
-    # none and every group arrives by position.
-    opened = in_order.groupBy("sink", "_episode").applyInPandas(
-        replay, "sink string, position bigint, is_open boolean")
-    return (states.join(opened, ["sink", "position"], "left")
-            .withColumn("is_open", F.coalesce("is_open", F.lit(False)))
-            .drop(hot))
+    states = running_max(states, ["sink"], ["position"], F.round(F.col(at) * 1_000_000), "_at", width)
+    hot = F.col("is_open")
+    states = rolling(states, ["sink"], "position", 1, {
+        "_was_hot": lambda w: F.coalesce(F.lag("is_open").over(w), F.lit(False))}, width)
+    starts = F.when(hot & ~F.col("_was_hot"), 1).otherwise(0)
+    states = stage(running_sum(states, ["sink"], ["position"], starts, "_run", width), "runs")
+
+    runs = states.filter(hot).groupBy("sink", "_run").agg(
+        F.min("position").alias("_from"), (F.max("position") + 1).alias("_to"))
+    # Rows of a run and the one behind it, and the moments at which openings are over.
+    rows = states.filter(hot | F.col("_was_hot")).select("sink", "_run", F.col("_at").alias("value"),
+                                                         F.lit(None).cast("bigint").alias("position"))
+    later = F.col("_at") + round(reset_s * 1_000_000)
+    moments = states.filter(hot).select("sink", "_run", later.alias("value"), "position")
+    slot = F.floor(F.col("value") / max(round(reset_s * 1_000_000), 1)).alias("slot")
+    both = rows.unionByName(moments).select("*", slot)
+    row = F.when(F.col("position").isNull(), 1).otherwise(0)
+    before = (Window.partitionBy("sink", "_run").orderBy("slot")
+              .rowsBetween(Window.unboundedPreceding, -1))
+    slots = both.groupBy("sink", "_run", "slot").agg(F.sum(row).alias("rows")).select(
+        "sink", "_run", "slot", F.coalesce(F.sum("rows").over(before), F.lit(0)).alias("before"))
+    # Moments come before rows of the same time, which are not earlier.
+    inside = (Window.partitionBy("sink", "_run", "slot").orderBy("value", row)
+              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    earlier = (both.withColumn("inside", F.sum(row).over(inside)).filter("position IS NOT NULL")
+               .join(slots, ["sink", "_run", "slot"])
+               .select("sink", "_run", "position", (F.col("before") + F.col("inside")).alias("earlier")))
+    reset_at = F.col("_from") + F.col("earlier")
+    ends = join_per_key(earlier, runs, ["sink", "_run"], "position").select(
+        "sink", "position", F.least(reset_at, "_to").alias("ends"),
+        F.when(reset_at <= F.col("_to"), reset_at + n - 1).otherwise(F.col("_to")).alias("_wanted"))
+    # Behind the last row of all, a reset was only counted to, not reached.
+    counted = states.groupBy("sink").agg(F.count("*").alias("_count"))
+    ends = join_per_key(ends, counted, ["sink"], "position").withColumn(
+        "_wanted", F.when(F.col("_wanted") < F.col("_count"), F.col("_wanted"))).drop("_count")
+    there = states.select("sink", F.col("position").alias("_wanted"), F.col("is_open").alias("_hot"), "_run")
+    ends = ends.join(there, ["sink", "_wanted"], "left")
+    following = runs.select("sink", (F.col("_run") - 1).alias("_run"), F.col("_from").alias("_later"))
+    ends = join_per_key(ends, following, ["sink", "_run"], "position", "left").select(
+        "sink", "position", "ends", F.when(F.col("_hot"), F.col("_wanted")).otherwise(F.col("_later")).alias("next"))
+    return states.join(ends, ["sink", "position"], "left").withColumn(
+        "first", hot & ~F.col("_was_hot") & (F.col("_run") == 1)).drop("is_open", "_at", "_was_hot", "_run")
+
+
+def reached(edges: DataFrame, first: DataFrame) -> DataFrame:
+    """The rows (sink, position) that lead from the first ones along `next`."""
+    jumps = edges.select("sink", "position", "next")
+    found = stage(first, "reached")
+    while True:
+        jumps = stage(jumps.filter("next IS NOT NULL"), "jumps")
+        if jumps.isEmpty():
+            return found
+        more = found.join(jumps, ["sink", "position"]).select("sink", F.col("next").alias("position"))
+        found = stage(found.unionByName(more).distinct(), "reached")
+        onward = jumps.select("sink", F.col("position").alias("next"), F.col("next").alias("_far"))
+        jumps = jumps.join(onward, ["sink", "next"]).select("sink", "position", F.col("_far").alias("next"))

@@ -9,7 +9,7 @@ task sorts a bounded number of rows; only one summary row per slot, a
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,6 +31,18 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     it when it is small, and otherwise joins on (keys, slot), where the hottest
     value has `width` rows.
     """
+    return _running(df, keys, order, value, name, width, descending, F.sum,
+                    lambda before, inside: F.coalesce(before, F.lit(0)) + inside)
+
+
+def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
+                name: str, width: int = SLOT_WIDTH) -> DataFrame:
+    """As `running_sum`, with the largest integer value in place of the sum."""
+    return _running(df, keys, order, value, name, width, False, F.max, F.greatest)
+
+
+def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column, name: str, width: int,
+             descending: bool, total: Callable[[str], Column], add: Callable[[Column, Column], Column]) -> DataFrame:
     *outer, last = order
     slot_keys = [*keys, *outer, "_slot"]
     rows = df.withColumns({"_slot": _slot_of(last, width), "_value": value.cast("bigint")})
@@ -40,13 +52,13 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
 
     before = (Window.partitionBy(*keys).orderBy(*[sort(c) for c in [*outer, "_slot"]])
               .rowsBetween(Window.unboundedPreceding, -1))
-    starts = rows.groupBy(*slot_keys).agg(F.sum("_value").alias("_total")).select(
-        *slot_keys, F.coalesce(F.sum("_total").over(before), F.lit(0)).alias("_before"))
+    starts = rows.groupBy(*slot_keys).agg(total("_value").alias("_total")).select(
+        *slot_keys, total("_total").over(before).alias("_before"))
 
     inside = (Window.partitionBy(*slot_keys).orderBy(sort(last))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (rows.join(starts, slot_keys)
-            .withColumn(name, F.col("_before") + F.sum("_value").over(inside))
+            .withColumn(name, add(F.col("_before"), total("_value").over(inside)))
             .select(*df.columns, name))
 
 

@@ -459,7 +459,40 @@ def metric_breaker_open(spark, sf):
     return metrics.breaker_open(breaker.breaker_state(sink_outcomes(spark, sf)))
 
 
-@query("breaker_with_reset")
+# For every row at which a breaker could open: the first later row that is cool or, if
+# not later than that, the first one an hour later; then the chain from each sink's first.
+RESET = """
+timed AS (SELECT s.*, epoch_us(e.ts) AS at_us FROM states s JOIN events e ON s.seq = e.event_id),
+running AS (SELECT *, max(at_us) OVER (PARTITION BY sink ORDER BY position) AS m FROM timed),
+cool AS (
+  SELECT sink, position, is_open, m,
+         min(position) FILTER (WHERE NOT is_open) OVER (
+           PARTITION BY sink ORDER BY position ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS cool_at
+  FROM running),
+late AS (
+  SELECT a.sink, a.position, a.cool_at, min(b.position) AS reset_at
+  FROM cool a LEFT JOIN running b ON a.sink = b.sink AND b.position > a.position AND b.m >= a.m + 3600000000
+  WHERE a.is_open GROUP BY ALL),
+ends AS (
+  SELECT sink, position, least(cool_at, reset_at) AS ends,
+         CASE WHEN reset_at IS NOT NULL AND (cool_at IS NULL OR reset_at <= cool_at) THEN reset_at + 99
+              ELSE cool_at END AS wanted
+  FROM late),
+edges AS (
+  SELECT e.sink, e.position, e.ends, min(s.position) AS next
+  FROM ends e LEFT JOIN states s ON e.sink = s.sink AND s.is_open AND s.position >= e.wanted GROUP BY ALL),
+chain AS (
+  SELECT sink, min(position) AS position FROM states WHERE is_open GROUP BY sink
+  UNION
+  SELECT e.sink, e.next FROM chain c JOIN edges e ON c.sink = e.sink AND c.position = e.position
+  WHERE e.next IS NOT NULL)"""
+
+
+@query("breaker_with_reset", sql([STATES, RESET], """
+SELECT sink, seq, position, failures, EXISTS (
+  SELECT 1 FROM chain c JOIN edges e ON c.sink = e.sink AND c.position = e.position
+  WHERE c.sink = s.sink AND c.position <= s.position AND (e.ends IS NULL OR s.position < e.ends)) AS is_open
+FROM states s""").replace("WITH ", "WITH RECURSIVE ", 1))
 def breaker_with_reset(spark, sf):
     return breaker.breaker_with_reset(sink_outcomes(spark, sf), reset_s=3600.0).select(
         "sink", "seq", "position", "failures", "is_open")
