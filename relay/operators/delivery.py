@@ -115,19 +115,22 @@ def _in_task(transport: Transport, concurrency: int, handle: Callable[[dict[str,
 
 
 def deliver(requests: DataFrame, transport: Transport, concurrency: int = 1,
-            tasks: int | None = None) -> DataFrame:
+            tasks: int | None = None, finished: str | None = None) -> DataFrame:
     """Send every request once; adds status_code, response_body, error, latency_s.
 
     `tasks` spreads the requests over that many tasks, for small batches that
-    Spark would otherwise keep in a few; `concurrency` is per task.
+    Spark would otherwise keep in a few; `concurrency` is per task. `finished` names a
+    further column for the time, in seconds, at which the answer was there.
     """
     if tasks:
         requests = requests.repartition(tasks, "request_id")
-    schema = T.StructType(requests.schema.fields + OUTCOME_FIELDS)
-    names = [f.name for f in OUTCOME_FIELDS]
+    fields = OUTCOME_FIELDS + ([T.StructField(finished, T.DoubleType())] if finished else [])
+    schema = T.StructType(requests.schema.fields + fields)
+    names = [f.name for f in fields]
 
     def send(request):
-        return _send(transport, request)
+        outcome = _send(transport, request)
+        return (*outcome, time.time()) if finished else outcome
 
     return requests.mapInPandas(_in_task(transport, concurrency, send, names), schema)
 

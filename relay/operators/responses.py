@@ -54,11 +54,14 @@ class SingleResult:
             return False
 
 
-def _seq(found: Column) -> Column:
-    """Index given as an integer or a numeric string, NULL otherwise. The pattern
-    keeps bad text from the cast, where every failure costs an exception."""
-    text = F.when(F.schema_of_variant(found).isin("BIGINT", "STRING"),
-                  F.trim(typed(found, "$", "string")))
+def _index_text(found: Column) -> Column:
+    """An index given as an integer or a string, as text; NULL otherwise."""
+    return F.when(F.schema_of_variant(found).isin("BIGINT", "STRING"), F.trim(typed(found, "$", "string")))
+
+
+def _index(text: Column) -> Column:
+    """The index in a text, NULL if it is none. The pattern keeps bad text from the
+    cast, where every failure costs an exception."""
     return F.when(text.rlike(r"^[+-]?[0-9]{1,18}$"), text.cast("bigint"))
 
 
@@ -74,54 +77,57 @@ def _text(found: Column) -> Column:
 
 
 def _flag(found: Column) -> Column:
-    return F.coalesce(F.when(is_boolean(found), typed(found, "$", "boolean")), F.lit(False))
+    """Whether a value is true. A text may be read as true, so look at its type then."""
+    return F.coalesce(typed(found, "$", "boolean") & is_boolean(found), F.lit(False))
 
 
-def _entries(responses: DataFrame, fields: ResponseFields, body: str) -> DataFrame:
-    """Add `_entries`, the list of results: NULL when it cannot be read."""
-    seq = key_path(fields.seq)
-    found = computed_once(responses, "_found", leaf(parse_object(body), key_path(fields.results)))
-    entries = F.when(F.is_variant_null("_found"), F.array().cast("array<variant>")).otherwise(
-        typed("_found", "$", "array<variant>"))
-    # An entry with an index is an object; look at the type of the others only.
-    bad = F.exists("_all", lambda e: F.when(
-        leaf(e, seq).isNull(), ~F.is_variant_null(e) & ~is_object(e)).otherwise(F.lit(False)))
-    every = computed_once(found, "_all", entries)
-    return computed_once(every, "_entries", F.when(~bad, F.col("_all"))).drop("_found", "_all")
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
-def _explode(listed: DataFrame, fields: ResponseFields, size: str, keep: list[str]) -> DataFrame:
-    """One row per (request_id, seq), the last entry of an index winning.
+def _slots(responses: DataFrame, fields: ResponseFields, body: str, size: str) -> DataFrame:
+    """Add `_slots`, a result for every index from 0 to size - 1, and `parse_error`;
+    the body goes.
 
-    Numbers -size..-1 stand for the indexes themselves, 0.. for the entries, so
-    that an index without an entry keeps its row. Fields are read after the
-    explode, inside generated code. Grouping is by the key that members are
-    joined on next, so the join needs no shuffle of its own on this side.
+    All of it happens inside the row. The list is read by one cast to structs, which
+    fails as a whole if an entry is no object. Entries are put in order of index and
+    place; of an index the last one stays, and the indexes without one fail.
     """
-    numbers = F.sequence(-F.col(size), F.coalesce(F.array_size("_entries"), F.lit(0)) - 1)
-    numbers = F.when((F.col(size) > 0) | (F.array_size("_entries") > 0), numbers)
-    rows = listed.select("request_id", size, "_entries", *keep, F.explode_outer(numbers).alias("_at"))
-    rows = computed_once(rows, "_entry", F.when(F.col("_at") >= 0, F.get("_entries", F.col("_at"))))
-    given = F.col("_at") >= 0
-
-    def field(name: str) -> Column:
-        return leaf("_entry", key_path(name))
-
-    index = F.when(given, _seq(field(fields.seq))).otherwise(F.col("_at") + F.col(size))
-    rows = computed_once(rows, "seq", index.cast("bigint"))
-    rows = rows.select(
-        "request_id", size, *keep, "_at", "seq",
-        F.struct(
-            (given & _equals(field(fields.status), fields.success)).alias("success"),
-            F.when(given, _text(field(fields.error))).otherwise(NO_RESULT).alias("error"),
-            F.when(given, _flag(field(fields.retryable))).otherwise(F.lit(True)).alias("is_retryable"),
-        ).alias("_result"))
-    return (
-        rows.filter((F.col("seq") >= 0) & (F.col("seq") < F.col(size)))
-        .groupBy("request_id", F.col("seq").cast("int").alias("seq"))
-        .agg(F.max_by("_result", "_at").alias("_result"), *[F.first(c).alias(c) for c in keep])
-        .select("request_id", "seq", "_result.*", *keep)
-    )
+    names = [fields.seq, fields.status, fields.error, fields.retryable]
+    kind = ", ".join(f"{_quoted(n)}: variant" for n in dict.fromkeys(names))
+    # Every step copies its rows: what is read is dropped at once.
+    found = computed_once(responses, "_found", leaf(parse_object(body), key_path(fields.results))).drop(body)
+    entries = F.when(F.is_variant_null("_found"), F.lit(None)).otherwise(
+        typed("_found", "$", f"array<struct<{kind}>>"))
+    every = computed_once(found, "_entries", entries)
+    # An entry that is null is skipped, one that is no object makes the list unreadable.
+    odd = F.when(F.exists("_entries", lambda e: e.isNull()), F.exists(
+        typed("_found", "$", "array<variant>"), lambda v: ~F.coalesce(F.is_variant_null(v) | is_object(v), F.lit(True))))
+    unread = F.col("_entries").isNull() & ~F.coalesce(F.is_variant_null("_found"), F.lit(False))
+    every = computed_once(every, "parse_error", unread | F.coalesce(odd, F.lit(False)))
+
+    def result(entry: Column, at: Column) -> Column:
+        return F.struct(
+            _index(_index_text(entry[fields.seq])).alias("seq"), at.alias("at"),
+            _equals(entry[fields.status], fields.success).alias("success"),
+            _text(entry[fields.error]).alias("error"), _flag(entry[fields.retryable]).alias("is_retryable"))
+
+    read = computed_once(every, "_read", F.when(~F.col("parse_error"), F.transform("_entries", result))).drop(
+        "_entries", "_found")
+    inside = F.filter("_read", lambda e: (e["seq"] >= 0) & (e["seq"] < F.col(size)))
+    ordered = computed_once(read, "_ordered", F.sort_array(F.coalesce(
+        inside, F.array().cast(read.schema["_read"].dataType))))
+    last = F.filter("_ordered", lambda e, i: F.coalesce(
+        F.get("_ordered", i + 1)["seq"] != e["seq"], F.lit(True)))
+    kept = computed_once(ordered, "_last", last)
+    every_index = F.when(F.col(size) > 0, F.sequence(F.lit(0).cast("bigint"), F.col(size).cast("bigint") - 1)).otherwise(
+        F.array().cast("array<bigint>"))
+    missing = F.array_except(every_index, F.transform("_last", lambda e: e["seq"]))
+    none = F.transform(missing, lambda i: F.struct(
+        i.alias("seq"), F.lit(-1).alias("at"), F.lit(False).alias("success"), F.lit(NO_RESULT).alias("error"),
+        F.lit(True).alias("is_retryable")))
+    # In order of indexes, so that a slot is found by its place.
+    return computed_once(kept, "_slots", F.sort_array(F.concat("_last", none))).drop("_read", "_ordered", "_last")
 
 
 def parse_batch_response(responses: DataFrame, fields: ResponseFields = ResponseFields(),
@@ -132,9 +138,12 @@ def parse_batch_response(responses: DataFrame, fields: ResponseFields = Response
     repeated ones the last wins, and an index without an entry is a retryable
     failure. On a parse error all indexes of the request are retryable failures.
     """
-    listed = _entries(responses, fields, body).withColumn("parse_error", F.col("_entries").isNull())
-    rows = _explode(listed, fields, size, ["parse_error"])
-    return rows.withColumn("error", F.when(F.col("parse_error"), UNREADABLE).otherwise(F.col("error")))
+    listed = _slots(responses.select("request_id", body, size), fields, body, size)
+    rows = listed.select("request_id", "parse_error", F.explode("_slots").alias("_slot"))
+    return rows.select(
+        "request_id", F.col("_slot.seq").cast("int").alias("seq"), "_slot.success",
+        F.when(F.col("parse_error"), UNREADABLE).otherwise(F.col("_slot.error")).alias("error"),
+        "_slot.is_retryable", "parse_error")
 
 
 def responses_to_failures(results: DataFrame, members: DataFrame) -> DataFrame:
@@ -154,23 +163,26 @@ def response_failures(outcomes: DataFrame, members: DataFrame,
 
     A non-2xx answer fails the whole request with its status; a transport
     failure or an unreadable response fails it with 0, so that it is retried.
-    Otherwise every message has its own result. Responses are read once and
-    joined to the members once, on (request_id, seq).
+    Otherwise every message has its own result. Responses are read once, inside their
+    rows, and meet their members once, on request_id.
     """
     ok = status.is_success("status_code")
     # A failed request has no results to read: every index fails with `_whole`.
-    readable = outcomes.withColumns({
+    readable = outcomes.select("request_id", "size", *[c.alias(n) for n, c in {
         "_body": F.when(ok, F.col("response_body")),
         "_status": F.when(~ok, F.col("status_code")),
         "_whole": F.when(~ok & (F.col("status_code") == 0),
                          F.coalesce("error", F.lit("transport failure")))
-        .when(~ok, "the whole batch was refused")})
-    listed = _entries(readable, fields, "_body").withColumn("parse_error", F.col("_entries").isNull())
-    rows = _explode(listed, fields, "size", ["_status", "_whole", "parse_error"])
-    failed = rows.filter(~F.col("success")).select(
-        "request_id", "seq",
-        F.coalesce("_status", F.when(F.col("parse_error"), 0).when(F.col("is_retryable"), 500)
-                   .otherwise(422)).alias("status_code"),
-        F.coalesce("_whole", F.when(F.col("parse_error"), UNREADABLE).otherwise(F.col("error")))
-        .alias("error_message"))
-    return as_failures(members.join(failed, ["request_id", "seq"]))
+        .when(~ok, "the whole batch was refused")}.items()])
+    listed = _slots(readable, fields, "_body", "size").filter(
+        F.col("parse_error") | F.exists("_slots", lambda e: ~e["success"]))
+    # One row per request meets its members; each takes its own slot.
+    mine = F.when(F.col("seq") >= 0, F.get("_slots", F.col("seq")))
+    joined = computed_once(members.join(listed.select(
+        "request_id", "_status", "_whole", "parse_error", "_slots"), "request_id"), "_slot", mine)
+    failed = joined.filter(~F.col("_slot.success")).withColumns({
+        "status_code": F.coalesce("_status", F.when(F.col("parse_error"), 0).when(
+            F.col("_slot.is_retryable"), 500).otherwise(422)),
+        "error_message": F.coalesce("_whole", F.when(F.col("parse_error"), UNREADABLE).otherwise(
+            F.col("_slot.error")))})
+    return as_failures(failed.select(*members.columns, "status_code", "error_message"))
