@@ -13,7 +13,7 @@ from relay.operators import breaker, ledger, metrics, routing, tables
 from relay.plans import topics
 from relay.plans.registry import CHECKS, query
 from relay.plans.topics_sql import ATTEMPTS, EVENTS, KEYED, LEDGER, OUTCOMES, PARSED, action, sql
-from relay.session import shared_dir
+from relay.session import shared_dir, stage
 from relay.streaming.keyed import KeyedTable
 from relay.streaming.stores import Stores
 
@@ -297,6 +297,29 @@ def committable_offsets(spark, sf):
     return ledger.committable_offsets(tracked(spark, sf))
 
 
+ISLANDS = """
+opened AS (
+  SELECT *, count(*) FILTER (WHERE NOT committable) OVER (
+    PARTITION BY topic, "partition" ORDER BY "offset") AS opened FROM tracked)"""
+
+
+@query("ledger_intervals", sql([LEDGER, TRACKED, ISLANDS], """
+SELECT topic, "partition", committable, min("offset") AS "first", max("offset") + 1 AS next
+FROM opened GROUP BY topic, "partition", committable, opened"""))
+def ledger_intervals(spark, sf):
+    return ledger.intervals(tracked(spark, sf), width=1000)
+
+
+# Four micro-batches one after the other, of which only the intervals are kept.
+@query("commit_by_intervals", sql([LEDGER, TRACKED], """
+SELECT topic, "partition", next_offset FROM next"""))
+def commit_by_intervals(spark, sf):
+    known = None
+    for number, part in _micro_batches(tracked(spark, sf)):
+        known = stage(ledger.intervals(part, known), f"intervals-{number}")
+    return ledger.committed(known)
+
+
 @query("prune", sql([LEDGER, TRACKED], """
 SELECT t.topic, t."partition", t."offset", t.committable
 FROM tracked t LEFT JOIN next n ON t.topic = n.topic AND t."partition" = n."partition"

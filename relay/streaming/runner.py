@@ -49,8 +49,9 @@ class RelayOptions:
     the columns once a session exists. `decoder` adds `decoded` to envelopes.
     Up to `concurrency` requests at a time are sent by each of `tasks` tasks (by
     default the cluster's parallelism); `ordered` sends one at a time. With
-    `keep_batches` the working tables of older micro-batches are removed; the
-    ledger, the dead letters and the commits stay.
+    `keep_batches` the working tables of older micro-batches are removed, with
+    `keep_ledger` older micro-batches of the ledger whose offsets are all committed;
+    the dead letters and the commits stay.
     """
 
     sink: str = "http"
@@ -68,6 +69,7 @@ class RelayOptions:
     concurrency: int = 16
     tasks: int | None = None
     keep_batches: int | None = None
+    keep_ledger: int | None = None
     ranges: routing.RouteRanges = field(default_factory=routing.RouteRanges)
     max_attempts: int = 3
     backoff_initial_ms: int = 100
@@ -90,6 +92,8 @@ class RelayOptions:
             raise ValueError("chunk_size and concurrency must be positive")
         if self.keep_batches is not None and self.keep_batches < 2:
             raise ValueError("keep at least two micro-batches: a replay reads them")
+        if self.keep_ledger is not None and self.keep_ledger < 1:
+            raise ValueError("keep at least one micro-batch of the ledger")
         if not 0 < self.breaker_threshold <= 100 or self.breaker_window <= 0:
             raise ValueError("breaker threshold is a percentage, its window positive")
 
@@ -177,7 +181,7 @@ class Relay:
         final = self._dispositions(failures, retries)
         entries = stores.write("ledger", batch, self._ledger(records, final))
         self._dead_letters(records, final, batch)
-        stores.write("commits", batch, ledger.committable_offsets(entries))
+        self._commit(entries, batch)
         if options.breaker_enabled:
             self._update_breaker(outcomes, failures, retries, batch)
         if options.keep_batches:
@@ -310,6 +314,29 @@ class Relay:
         if self.dead_letter_writer:
             self.dead_letter_writer(letters, batch)
 
+    # --- commits ---------------------------------------------------------------
+
+    def _commit(self, entries: DataFrame, batch: int) -> None:
+        """Take a micro-batch into the intervals of done offsets, and write how far every
+        partition got (`commits`) and which moved on (`commit_report`).
+
+        Only the intervals of the newest micro-batches are kept. With `keep_ledger`
+        older micro-batches of the ledger go once all their offsets are committed.
+        """
+        stores = self.stores
+        done = [b for b in stores.batches("intervals") if b < batch]
+        before = stores.read_batch("intervals", max(done)) if done else None
+        known = stores.write("intervals", batch, ledger.intervals(entries, before))
+        now = stores.write("commits", batch, ledger.committed(known))
+        previous = ledger.committed(before) if before is not None else now.filter(F.lit(False))
+        stores.write("commit_report", batch, ledger.commit_report(previous, now))
+        for old in done[:-1]:
+            stores.drop("intervals", old)
+        if self.options.keep_ledger:
+            for old in [b for b in stores.batches("ledger") if b <= batch - self.options.keep_ledger]:
+                if ledger.prune(stores.read_batch("ledger", old), now).isEmpty():
+                    stores.drop("ledger", old)
+
     # --- breaker ---------------------------------------------------------------
 
     def _state(self, batch: int) -> dict[str, Any]:
