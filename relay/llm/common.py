@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def fresh(name: str, *tables: DataFrame) -> str:
+    """The name, or a longer one that no column of the tables has."""
+    taken = {c.lower() for t in tables for c in t.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def said(role: str, text: str) -> Column:
     """A digest of 32 bytes that is equal for equal (role, text)."""
     return F.unhex(F.sha2(F.concat(F.length(role).cast("string"), F.lit(":"), F.col(role), F.col(text)), 256))

@@ -33,6 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from relay.llm import words
+from relay.llm.common import fresh
 from relay.session import ship, stage
 
 N = 2
@@ -198,5 +199,6 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> Da
 
 def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The documents in which no item was found, with all their columns."""
-    found = leaks(docs, items, threshold).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(found, docs["doc_id"] == found["_leaked"], "left_anti")
+    name = fresh("_leaked", docs)
+    found = leaks(docs, items, threshold).select(F.col("doc_id").alias(name)).distinct()
+    return docs.join(found, docs["doc_id"] == found[name], "left_anti")

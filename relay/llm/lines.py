@@ -30,6 +30,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relay.llm.common import fresh
 from relay.llm.sieve import sieve
 from relay.session import stage
 
@@ -164,16 +165,17 @@ def removals(docs: DataFrame) -> DataFrame:
 def deduplicate(docs: DataFrame) -> DataFrame:
     """The documents with the remaining lines in `text`; n_lines and n_removed are added
     (replaced, if there are such columns), all other columns and rows stay."""
-    gone = stage(removals(docs).groupBy(F.col("doc_id").alias("_doc")).agg(F.collect_set("no").alias("_gone")),
+    doc, numbers = fresh("_doc", docs), fresh("_gone", docs)
+    gone = stage(removals(docs).groupBy(F.col("doc_id").alias(doc)).agg(F.collect_set("no").alias(numbers)),
                  "line-removals")
-    touched = F.coalesce(sieve(gone.select(F.col("_doc").alias("doc_id"))), F.lit(False))
+    touched = F.coalesce(sieve(gone.select(F.col(doc).alias("doc_id"))), F.lit(False))
     pieces = F.split("text", "\n")
     # The sieve lets some documents through that lose no line.
-    left = F.when(F.col("_gone").isNull(), pieces).otherwise(
-        F.filter(pieces, lambda x, i: ~F.array_contains(F.col("_gone"), i)))
+    left = F.when(F.col(numbers).isNull(), pieces).otherwise(
+        F.filter(pieces, lambda x, i: ~F.array_contains(F.col(numbers), i)))
     known = docs.withColumns({"n_lines": F.coalesce(F.size(pieces), F.lit(0)), "n_removed": F.lit(0)})
     known = known.withColumn("n_lines", F.greatest("n_lines", F.lit(0)))
-    changed = (known.filter(touched).join(gone, F.col("doc_id").cast("long") == F.col("_doc"), "left")
+    changed = (known.filter(touched).join(gone, F.col("doc_id").cast("long") == F.col(doc), "left")
                .withColumns({"n_removed": F.coalesce(F.size(pieces) - F.size(left), F.lit(0)),
-                             "text": F.coalesce(F.array_join(left, "\n"), "text")}).drop("_doc", "_gone"))
+                             "text": F.coalesce(F.array_join(left, "\n"), "text")}).drop(doc, numbers))
     return changed.unionByName(known.filter(~touched))

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from relay.llm.common import fresh
+
 SIEVE_WORDS = 1 << 16
 
 
@@ -30,6 +32,7 @@ def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
     """The documents whose doc_id is not in a stored table of doc_ids. Only those that
     may be in it are shuffled; documents without doc_id stay."""
     may = F.coalesce(sieve(ids), F.lit(False))
-    gone = ids.select(F.col("doc_id").alias("_gone")).distinct()
-    rest = docs.filter(may).join(gone, F.col("doc_id") == F.col("_gone"), "left_anti")
+    name = fresh("_gone", docs)
+    gone = ids.select(F.col("doc_id").alias(name)).distinct()
+    rest = docs.filter(may).join(gone, F.col("doc_id") == F.col(name), "left_anti")
     return docs.filter(~may).unionByName(rest)

@@ -17,6 +17,9 @@ import pyarrow.compute as pc
 # A word of letters that stay one piece each when normalized, and punctuation after
 # it, which the pre-tokenizer always cuts off.
 LATIN_WORD = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([.,;:!?*#$%&|()]*)")
+# The same behind an ASCII letter (Arrow's patterns go by bytes), to be cut off before
+# words are looked up; the others are put together of stem and tail.
+TAIL = r"([A-Za-z])([.,;:!?*#$%&|()]+)( |$)"
 KNOWN_WORDS = 400_000
 JOINED = 256
 
@@ -103,8 +106,10 @@ class WordTokenizer:
         entry than texts). Null texts have no ids."""
         if len(self.number) > KNOWN_WORDS:
             self._forget()
-        texts = pc.fill_null(texts.cast(pa.large_string()), "")
-        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
+        # Lower case only now: Arrow's kernel goes wrong on a slice.
+        texts = pc.replace_substring_regex(pc.ascii_lower(texts), TAIL, r"\1 \2\3")
+        split = pc.split_pattern(texts, " ")
         borders = np.asarray(split.offsets)
         coded = split.values.slice(borders[0], borders[-1] - borders[0]).dictionary_encode()
         words = coded.dictionary.to_pylist()
