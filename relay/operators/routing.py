@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from relay.functions import status
 from relay.functions.status import Ranges
+from relay.operators.positions import join_per_key
 from relay.session import stage
 from relay.sources.envelope import POSITION
 
@@ -30,6 +31,28 @@ def with_action(failures: DataFrame, ranges: RouteRanges = RouteRanges()) -> Dat
     return failures.withColumn("action", ranges.action())
 
 
+def in_ranges_table(rows: DataFrame, ranges: DataFrame, code: str = "status_code", key: str = "sink",
+                    name: str = "in_range", bin_width: int = 100) -> DataFrame:
+    """Add whether `code` is in one of the ranges (`start`, `end`, inclusive) that a table
+    gives for the row's `key`. Ranges may overlap; codes or keys without a range are in none.
+
+    An interval join by bins: a range is told once for each bin of `bin_width` codes it
+    touches, so a row meets the ranges of its own bin in an equi-join. Ranges of a bin
+    are one list, so overlaps do not multiply rows, and a hot key is salted.
+    """
+    def bin_of(value: Column) -> Column:
+        return F.floor(value / bin_width).cast("long")
+
+    spans = ranges.filter(F.col("start") <= F.col("end")).select(
+        key, F.struct("start", "end").alias("_range"),
+        F.explode(F.sequence(bin_of(F.col("start")), bin_of(F.col("end")))).alias("_bin"))
+    lists = spans.groupBy(key, "_bin").agg(F.collect_set("_range").alias("_ranges"))
+    inside = F.exists("_ranges", lambda r: (F.col(code) >= r["start"]) & (F.col(code) <= r["end"]))
+    binned = rows.withColumns({"_bin": bin_of(F.col(code)), "_spread": F.abs(F.xxhash64(*rows.columns) % 1024)})
+    return (join_per_key(binned, lists, [key, "_bin"], "_spread", "left")
+            .withColumn(name, F.coalesce(inside, F.lit(False))).select(*rows.columns, name))
+
+
 def to_dlq(failures: DataFrame) -> DataFrame:
     """Dead letters: key and value unchanged, where and why in the headers."""
     texts = {

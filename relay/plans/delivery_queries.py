@@ -228,6 +228,21 @@ def in_ranges(spark, sf):
         status.in_ranges("status_code", "").alias("never"))
 
 
+# Each sink retries codes of its own: a base range and overlapping ones by its customers' events.
+@query("in_ranges_table", _check(f"""
+SELECT {POS_SQL}, EXISTS (
+  SELECT 1 FROM (SELECT DISTINCT event_type, 400 + user_id % 7 * 20 AS s, 415 + user_id % 7 * 20 AS e FROM events
+                 WHERE event_id % 5 = 0 AND user_id % 7 < length(event_type)) r
+  WHERE r.event_type = outcomes.sink AND outcomes.status_code BETWEEN r.s AND r.e) AS in_range
+FROM outcomes"""))
+def in_ranges_table(spark, sf):
+    ranges = topics.table(spark, sf, "events").filter(
+        "event_id % 5 = 0 AND user_id % 7 < length(event_type)").select(
+        F.col("event_type").alias("sink"), (400 + F.col("user_id") % 7 * 20).alias("start"),
+        (415 + F.col("user_id") % 7 * 20).alias("end")).distinct()
+    return routing.in_ranges_table(topics.outcomes(spark, sf), ranges).select(*POS, "in_range")
+
+
 @query("error_type", _check(f"SELECT {POS_SQL}, status_code, error_type FROM outcomes"))
 def error_type(spark, sf):
     return topics.outcomes(spark, sf).select(
