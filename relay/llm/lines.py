@@ -8,14 +8,19 @@ more.
 1. Shingles are counted over the whole corpus, in RANKS counters they are hashed to.
    Rare shingles come first in each set: a token is the rank of its counter, then its
    hash, so that sets sort by rarity.
-2. Lines of the same set are one class, with the place of its first line. They are
-   combined before the shuffle, so a line that stands in a third of all documents is
-   one row per task.
+2. Lines of the same shingles in the same order are one class, with the place of its
+   first line. They are combined before the shuffle, so a line that stands in a third
+   of all documents is one row per task.
 3. Two sets that are similar enough share a token among the first n - ceil(0.75 n) + 1
    (prefix filter), have similar sizes (length filter), and leave room behind that
-   token for the overlap that is needed (positional filter). Classes are joined on
-   these tokens, and the pairs found are verified on whole sets.
-4. A class with an earlier similar class loses all its lines, any other all but its
+   token for the overlap that is needed (positional filter). Tokens of only one class
+   can join nothing and go first.
+4. One earlier similar class is enough. So in turns each token has one centre, every
+   class that is still open is compared with the earlier centre it shares most tokens
+   with, and those that match leave. A turn makes at most one pair a class, and a few
+   turns settle a group of near copies. When turns settle little, the classes still
+   open are compared with all earlier ones that pass the filters.
+5. A class with an earlier similar class loses all its lines, any other all but its
    first. Documents of which no line goes are not shuffled at all.
 
 Null and empty texts stay as they are. A document that repeats (equal doc_id and text)
@@ -27,17 +32,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from relay.llm.common import fresh
-from relay.llm.sieve import sieve
+from relay.llm.sieve import constant_array, sieve
 from relay.session import stage
 
 SHINGLE = 5
 PERCENT = 75
 RANKS = 1 << 16
+# Bits of a shingle's hash in a token, below its rank. Equal tokens of unlike shingles only
+# give more candidates: classes and verification have all 64 bits.
 HASH_BITS = 47
+# More turns save pairs of the last step and do not change the result.
+TURNS = 6
+YIELD = 0.05
 
 
 def words_of(line: Column) -> Column:
@@ -56,13 +66,11 @@ def once(value: Column, then: Callable[[Column], Column]) -> Column:
 
 
 def shingles_of(line: Column) -> Column:
-    """Hashes of the 5-word shingles of a line in order, HASH_BITS bits each."""
-    mask = F.lit((1 << HASH_BITS) - 1).cast("long")
-
+    """64-bit hashes of the 5-word shingles of a line in order."""
     def runs(w: Column) -> Column:
         several = F.transform(F.sequence(F.lit(0), F.greatest(F.size(w) - SHINGLE, F.lit(0))), lambda i: F.xxhash64(
-            *[F.get(w, i + k) for k in range(SHINGLE)]).bitwiseAND(mask))
-        whole = F.array(F.xxhash64(w).bitwiseAND(mask))
+            *[F.get(w, i + k) for k in range(SHINGLE)]))
+        whole = F.array(F.xxhash64(w))
         return (F.when(F.size(w) >= SHINGLE, several).when(F.size(w) > 0, whole)
                 .otherwise(F.array().cast("array<bigint>")))
 
@@ -75,48 +83,82 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def ranks(lines: DataFrame) -> Column:
-    """The counters of all shingles as a constant array: 0 for the rarest. The result
-    of the aggregate, and so the constant, has RANKS entries at any size."""
+    """The ranks of all counters as a constant array: 0 for the rarest. The aggregate, and
+    so the array, has RANKS entries at any size."""
     counter = F.col("s").bitwiseAND(RANKS - 1)
     counted = (lines.select(F.explode(shingles_of(F.col("line"))).alias("s"))
-               .groupBy(counter.cast("int").alias("at")).count().collect())
-    held = {row["at"]: row["count"] for row in counted}
-    order = {at: rank for rank, at in enumerate(sorted(range(RANKS), key=lambda at: (held.get(at, 0), at)))}
-    return F.from_json(F.lit("[" + ",".join(str(order[at]) for at in range(RANKS)) + "]"), "array<int>")
-
-
-def tokens(line: Column, table: Column) -> Column:
-    """The set of a line, rarest first: rank in the high bits, hash in the low ones."""
-    place = F.transform(shingles_of(line), lambda s: F.shiftleft(
-        F.get(table, s.bitwiseAND(RANKS - 1).cast("int")).cast("long"), HASH_BITS).bitwiseOR(s))
-    return F.sort_array(F.array_distinct(place))
+               .groupBy(counter.cast("int").alias("at")).count())
+    # Counters that nothing is hashed to are looked up by nothing.
+    order = F.row_number().over(Window.orderBy("count", "at")) - 1
+    return constant_array(counted.select("at", order.alias("value")), RANKS, "line-ranks")
 
 
 def keyed(lines: DataFrame, table: Column) -> DataFrame:
-    """Per line its place and `k`: hashes h1 and h2 of its set, n tokens, prefix."""
-    def key(t: Column) -> Column:
-        n = F.size(t)
-        prefix = F.slice(t, F.lit(1), (n - F.ceil(n * PERCENT / 100) + 1).cast("int"))
-        return F.struct(F.xxhash64(t).alias("h1"), F.hash(t).alias("h2"), n.alias("n"), prefix.alias("prefix"))
-
-    return lines.select("doc_id", "no", once(tokens(F.col("line"), table), key).alias("k"))
-
-
-def candidates(keys: DataFrame) -> DataFrame:
-    """Pairs of classes (first places a before b) that pass the three filters."""
+    """Per line its place and `k`: hashes h1 and h2 of its shingles, n of them, and the
+    prefix: tokens (rank in the high bits, hash in the low ones), rarest first."""
+    low = F.lit((1 << HASH_BITS) - 1).cast("long")
+
+    def key(s: Column, rank: Column) -> Column:
+        n = F.size(s)
+        every = F.sort_array(F.transform(s, lambda x: F.shiftleft(
+            F.get(rank, x.bitwiseAND(RANKS - 1).cast("int")).cast("long"), HASH_BITS).bitwiseOR(x.bitwiseAND(low))))
+        prefix = F.slice(every, F.lit(1), (n - F.ceil(n * PERCENT / 100) + 1).cast("int"))
+        return F.struct(F.xxhash64(s).alias("h1"), F.hash(s).alias("h2"), n.alias("n"), prefix.alias("prefix"))
+
+    # A subquery must not stand inside a lambda when a plan is analysed; the optimizer puts
+    # the column, which is used once, where it is needed and so copies it into no row.
+    both = F.struct(F.array_distinct(shingles_of(F.col("line"))).alias("s"), F.col("rank"))
+    return (lines.select("doc_id", "no", "line", table.alias("rank"))
+            .select("doc_id", "no", once(both, lambda x: key(x["s"], x["rank"])).alias("k")))
+
+
+def token_rows(keys: DataFrame) -> DataFrame:
+    """(doc, no, n, i, token, bin) for each prefix token of a class that another class has,
+    too; doc and no are the place of the class, i that of the token, bin a size class."""
     kinds = keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"),
                                               F.first("prefix").alias("prefix"))
-    rows = kinds.select(F.col("first.doc_id").alias("doc"), F.col("first.no").alias("no"), "n",
-                        F.posexplode("prefix").alias("i", "token"))
-    left, right = rows.alias("a"), rows.alias("b")
+    rows = stage(kinds.select(F.col("first.doc_id").alias("doc"), F.col("first.no").alias("no"), "n", "prefix"),
+                 "line-classes").select("doc", "no", "n", F.posexplode("prefix").alias("i", "token"))
+    shared = stage(rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), "line-shared")
+    size = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
+    return rows.filter(sieve(shared, "token")).join(shared, "token", "left_semi").withColumn("bin", size)
+
+
+def passing() -> Column:
+    """Whether rows a and b of one token pass the filters, a being the earlier one."""
     small, large = F.least("a.n", "b.n"), F.greatest("a.n", "b.n")
     needed = F.ceil((F.col("a.n") + F.col("b.n")) * PERCENT / (100 + PERCENT))
     room = F.least(F.col("a.n") - F.col("a.i"), F.col("b.n") - F.col("b.i"))
     earlier = (F.col("a.doc") < F.col("b.doc")) | ((F.col("a.doc") == F.col("b.doc")) & (F.col("a.no") < F.col("b.no")))
-    return (left.join(right, (F.col("a.token") == F.col("b.token")) & earlier
-                      & (100 * small >= PERCENT * large) & (room >= needed))
-            .groupBy(F.col("a.doc").alias("doc_a"), F.col("a.no").alias("no_a"),
-                     F.col("b.doc").alias("doc_b"), F.col("b.no").alias("no_b")).agg(F.count("*").alias("met")))
+    return earlier & (100 * small >= PERCENT * large) & (room >= needed)
+
+
+def met(joined: DataFrame) -> DataFrame:
+    """Pairs of classes (first places a before b) and the number of tokens they met in."""
+    return joined.groupBy(F.col("a.doc").alias("doc_a"), F.col("a.no").alias("no_a"),
+                          F.col("b.doc").alias("doc_b"), F.col("b.no").alias("no_b")).agg(F.count("*").alias("met"))
+
+
+def best(pairs: DataFrame) -> DataFrame:
+    """Of each class b the pair with the earlier class it shares most prefix tokens with."""
+    return pairs.groupBy("doc_b", "no_b").agg(
+        F.max_by(F.struct("doc_a", "no_a"), F.struct("met", "doc_a", "no_a")).alias("a")).select(
+        "a.doc_a", "a.no_a", "doc_b", "no_b")
+
+
+def with_centres(rows: DataFrame, open_rows: DataFrame, turn: int) -> DataFrame:
+    """Pairs of open classes with centres: in each token and size class the earliest class
+    first, then the first one in an order that changes with the turn."""
+    order = F.lit(0).cast("long") if turn == 0 else F.xxhash64("doc", "no", F.lit(turn))
+    centre = rows.groupBy("token", "bin").agg(F.min(F.struct(order.alias("o"), "doc", "no", "n", "i")).alias("c"))
+    centre = centre.select("token", "bin", "c.doc", "c.no", "c.n", "c.i")
+    same = (F.col("a.token") == F.col("b.token")) & (F.col("a.bin") == F.col("b.bin"))
+    return best(met(centre.alias("a").join(open_rows.alias("b"), same & passing())))
+
+
+def with_all(rows: DataFrame, open_rows: DataFrame) -> DataFrame:
+    """Pairs of open classes with all earlier ones that pass the filters."""
+    return met(rows.alias("a").join(open_rows.alias("b"), (F.col("a.token") == F.col("b.token")) & passing()))
 
 
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -139,26 +181,32 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
             .select(F.col("doc_b").alias("doc_id"), F.col("no_b").alias("no")).distinct())
 
 
-def matched(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Places of the classes that any earlier class matches. One match is enough: every
-    class is first compared with the earlier one it shares most prefix tokens with, and
-    only those that this leaves open with all others."""
-    best = pairs.groupBy("doc_b", "no_b").agg(
-        F.max_by(F.struct("doc_a", "no_a"), F.struct("met", "doc_a", "no_a")).alias("a")).select(
-        "a.doc_a", "a.no_a", "doc_b", "no_b")
-    found = stage(verified(docs, stage(best, "line-best")), "line-found")
-    done = found.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"))
-    rest = pairs.join(done, ["doc_b", "no_b"], "left_anti").join(best, ["doc_a", "no_a", "doc_b", "no_b"], "left_anti")
-    return found.unionByName(verified(docs, stage(rest, "line-rest")))
+def matched(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Places of the classes that any earlier class matches."""
+    found, open_rows = None, rows
+    for turn in range(TURNS):
+        pairs = stage(with_centres(rows, open_rows, turn), "line-centres")
+        hits = stage(verified(docs, pairs), "line-found")
+        found = hits if found is None else found.unionByName(hits)
+        gone = found.select(F.col("doc_id").alias("doc"), "no")
+        open_rows = rows.join(gone, ["doc", "no"], "left_anti")
+        if hits.count() <= YIELD * pairs.count():
+            break
+    pairs = stage(with_all(rows, open_rows), "line-pairs")
+    first = stage(best(pairs), "line-best")
+    hits = stage(verified(docs, first), "line-found")
+    done = hits.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"))
+    rest = pairs.join(done, ["doc_b", "no_b"], "left_anti").join(first, ["doc_a", "no_a", "doc_b", "no_b"], "left_anti")
+    return found.unionByName(hits).unionByName(verified(docs, stage(rest, "line-rest")))
 
 
 def removals(docs: DataFrame) -> DataFrame:
     """Places (doc_id, no) of all lines that go."""
     lines = lines_of(docs)
     keys = stage(keyed(lines, ranks(lines)), "line-keys").select("doc_id", "no", "k.*").filter("n > 0")
-    pairs = stage(candidates(keys), "line-pairs")
+    rows = stage(token_rows(keys), "line-tokens")
     stay = (keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"))
-            .select("first.doc_id", "first.no").join(matched(docs, pairs), ["doc_id", "no"], "left_anti"))
+            .select("first.doc_id", "first.no").join(matched(docs, rows), ["doc_id", "no"], "left_anti"))
     return keys.select("doc_id", "no").join(stay, ["doc_id", "no"], "left_anti").distinct()
 
 

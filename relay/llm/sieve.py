@@ -6,10 +6,22 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from relay.llm.common import fresh
+from relay.session import stage
 
 SIEVE_WORDS = 1 << 16
 
 
+def constant_array(values: DataFrame, size: int, label: str) -> Column:
+    """The values (at, value) of `size` places as an array that expressions can look up,
+    0 where there is none. It is a stored row, read by a scalar subquery: plans name it,
+    and do not hold its entries. It must not stand inside a lambda function."""
+    places = values.sparkSession.range(size, numPartitions=1).select(F.col("id").cast("int").alias("place"))
+    each = F.struct("place", F.coalesce("value", F.lit(0)).alias("value"))
+    row = (places.join(values, F.col("place") == F.col("at"), "left").agg(F.sort_array(F.collect_list(each)).alias("all"))
+           .select(F.transform("all", lambda x: x["value"]).alias("all")))
+    return stage(row, label).scalar()
+
+
 def sieve(ids: DataFrame, of: str = "doc_id") -> Column:
     """A condition on the column `of` that every id of a table meets and most others do not.
 
@@ -20,12 +32,9 @@ def sieve(ids: DataFrame, of: str = "doc_id") -> Column:
     at = F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)).cast("int")
     bit = F.pmod(h, F.lit(64)).cast("int")
     filled = (ids.select(at.alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
-              .groupBy("at").agg(F.bit_or("bit").alias("bits")).collect())
-    bits = [0] * SIEVE_WORDS
-    for row in filled:
-        bits[row["at"]] = row["bits"]
-    table = F.from_json(F.lit("[" + ",".join(map(str, bits)) + "]"), "array<bigint>")
-    return F.col(of).isNotNull() & (F.getbit(F.get(table, at), bit) == 1)
+              .groupBy("at").agg(F.bit_or("bit").alias("value")))
+    held = constant_array(filled, SIEVE_WORDS, "sieve")
+    return F.col(of).isNotNull() & (F.getbit(F.get(held, at), bit) == 1)
 
 
 def without(docs: DataFrame, ids: DataFrame) -> DataFrame:
