@@ -27,9 +27,10 @@ def running_sum(df: DataFrame, keys: Sequence[str], order: Sequence[str], value:
     """Add the sum of `value` over a row and all rows before it in its group.
 
     `order` ends in an integer column; (keys, order) must be unique and keys
-    not NULL. The summary of slots is joined back without a hint: AQE broadcasts
-    it when it is small, and otherwise joins on (keys, slot), where the hottest
-    value has `width` rows.
+    not NULL. The summary of slots is joined back on (keys, slot), where the hottest
+    value has `width` rows. With many small groups it has nearly as many rows as the
+    input, which file sizes do not tell, so it is never broadcast; the rows need that
+    shuffle and order for their sums anyway.
     """
     return _running(df, keys, order, value, name, width, descending, F.sum,
                     lambda before, inside: F.coalesce(before, F.lit(0)) + inside)
@@ -57,7 +58,7 @@ def _running(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Co
 
     inside = (Window.partitionBy(*slot_keys).orderBy(sort(last))
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    return (rows.join(starts, slot_keys)
+    return (rows.join(starts.hint("merge"), slot_keys)
             .withColumn(name, add(F.col("_before"), total("_value").over(inside)))
             .select(*df.columns, name))
 
