@@ -87,16 +87,19 @@ def breaker_with_reset(outcomes: DataFrame, reset_s: float, n: int = WINDOW,
     opens next. The rows that are reached from a sink's first are marked by pointer
     doubling: each round joins the marked rows with jumps twice as long, so a sink that
     opens very often takes the logarithm of that in rounds, spread over all tasks.
+
+    Everything with rows per outcome, opening or run is joined by merge: files of it are
+    far smaller than its rows, so by their size it would be broadcast.
     """
     steps = stage(openings(outcomes, reset_s, n, threshold, order, at, width), "openings")
     states = steps.select(*outcomes.columns, "position", "failures")
     edges = steps.filter("ends IS NOT NULL").select("sink", "position", "ends", "next")
     opened = reached(edges, steps.filter("first").select("sink", "position"))
-    spans = opened.join(edges.select("sink", "position", "ends"), ["sink", "position"])
+    spans = opened.join(edges.select("sink", "position", "ends").hint("merge"), ["sink", "position"])
     changes = spans.select("sink", "position", F.lit(1).alias("change")).unionByName(
         spans.select("sink", F.col("ends").alias("position"), F.lit(-1).alias("change")))
     changes = changes.groupBy("sink", "position").agg(F.sum("change").alias("_change"))
-    marked = states.join(changes, ["sink", "position"], "left")
+    marked = states.join(changes.hint("merge"), ["sink", "position"], "left")
     return (running_sum(marked, ["sink"], ["position"], F.coalesce("_change", F.lit(0)), "_open", width)
             .withColumn("is_open", F.col("_open") > 0).drop("_open", "_change"))
 
@@ -139,10 +142,10 @@ def openings(outcomes: DataFrame, reset_s: float, n: int, threshold: int, order:
     inside = (Window.partitionBy("sink", "_run", "slot").orderBy("value", row)
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     earlier = (both.withColumn("inside", F.sum(row).over(inside)).filter("position IS NOT NULL")
-               .join(slots, ["sink", "_run", "slot"])
+               .join(slots.hint("merge"), ["sink", "_run", "slot"])
                .select("sink", "_run", "position", (F.col("before") + F.col("inside")).alias("earlier")))
     reset_at = F.col("_from") + F.col("earlier")
-    ends = join_per_key(earlier, runs, ["sink", "_run"], "position").select(
+    ends = join_per_key(earlier, runs.hint("merge"), ["sink", "_run"], "position").select(
         "sink", "position", F.least(reset_at, "_to").alias("ends"),
         F.when(reset_at <= F.col("_to"), reset_at + n - 1).otherwise(F.col("_to")).alias("_wanted"))
     # Behind the last row of all, a reset was only counted to, not reached.
@@ -150,11 +153,11 @@ def openings(outcomes: DataFrame, reset_s: float, n: int, threshold: int, order:
     ends = join_per_key(ends, counted, ["sink"], "position").withColumn(
         "_wanted", F.when(F.col("_wanted") < F.col("_count"), F.col("_wanted"))).drop("_count")
     there = states.select("sink", F.col("position").alias("_wanted"), F.col("is_open").alias("_hot"), "_run")
-    ends = ends.join(there, ["sink", "_wanted"], "left")
+    ends = ends.join(there.hint("merge"), ["sink", "_wanted"], "left")
     following = runs.select("sink", (F.col("_run") - 1).alias("_run"), F.col("_from").alias("_later"))
-    ends = join_per_key(ends, following, ["sink", "_run"], "position", "left").select(
+    ends = join_per_key(ends, following.hint("merge"), ["sink", "_run"], "position", "left").select(
         "sink", "position", "ends", F.when(F.col("_hot"), F.col("_wanted")).otherwise(F.col("_later")).alias("next"))
-    return states.join(ends, ["sink", "position"], "left").withColumn(
+    return states.join(ends.hint("merge"), ["sink", "position"], "left").withColumn(
         "first", hot & ~F.col("_was_hot") & (F.col("_run") == 1)).drop("is_open", "_at", "_was_hot", "_run")
 
 
@@ -166,7 +169,7 @@ def reached(edges: DataFrame, first: DataFrame) -> DataFrame:
         jumps = stage(jumps.filter("next IS NOT NULL"), "jumps")
         if jumps.isEmpty():
             return found
-        more = found.join(jumps, ["sink", "position"]).select("sink", F.col("next").alias("position"))
+        more = found.join(jumps.hint("merge"), ["sink", "position"]).select("sink", F.col("next").alias("position"))
         found = stage(found.unionByName(more).distinct(), "reached")
         onward = jumps.select("sink", F.col("position").alias("next"), F.col("next").alias("_far"))
-        jumps = jumps.join(onward, ["sink", "next"]).select("sink", "position", F.col("_far").alias("next"))
+        jumps = jumps.join(onward.hint("merge"), ["sink", "next"]).select("sink", "position", F.col("_far").alias("next"))
