@@ -126,13 +126,14 @@ def keyed_upsert_without_keys(spark, sf):
                                {"customer": "bigint", "order": "bigint"})
 
 
-def _micro_batches(rows, count=4):
-    """Rows in order of offsets, in parts, with their numbers."""
-    last = rows.agg(F.max("offset")).first()[0] or 0
+def _micro_batches(messages, count=4):
+    """Messages in order of offsets, in parts, with their numbers. Each part is parsed for
+    itself, and the last offset is found without parsing."""
+    last = messages.agg(F.max("offset")).first()[0] or 0
     for number in range(count):
         low, high = last * number // count, last * (number + 1) // count
-        yield number, rows.filter((F.col("offset") > low) & (F.col("offset") <= high) if number
-                                  else F.col("offset") <= high)
+        yield number, topics.objects(messages.filter(
+            (F.col("offset") > low) & (F.col("offset") <= high) if number else F.col("offset") <= high))
 
 
 def _stored_table(spark, name, keys, target):
@@ -148,7 +149,7 @@ def keyed_sink_merge(spark, sf):
     table = _stored_table(spark, "merge", ["customer"], topics.table(spark, sf, "customer").select(
         F.col("c_custkey").alias("customer"), F.lit(None).cast("bigint").alias("order"),
         F.col("c_mktsegment").alias("status"), F.col("c_acctbal").alias("amount")))
-    for number, part in _micro_batches(_keyed(spark, sf)):
+    for number, part in _micro_batches(topics.keyed_messages(spark, sf)):
         table.upsert(part, number)
         table.upsert(part, number)
     return table.read().select("customer", "order", "status", "amount")
@@ -160,7 +161,7 @@ def keyed_sink_insert(spark, sf):
         "c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("customer"), *[
             F.lit(None).cast(t).alias(n) for n, t in TYPES.items() if n != "customer"]))
     halves = []
-    for number, part in _micro_batches(_keyed(spark, sf)):
+    for number, part in _micro_batches(topics.keyed_messages(spark, sf)):
         refused = table.insert(part, number)
         customer = F.expr("CAST(get_json_object(CAST(value AS STRING), '$.customer') AS BIGINT)")
         halves.append(refused.select(*POS, customer.alias("customer"), F.lit("duplicate").alias("half"), "status_code"))
