@@ -61,11 +61,12 @@ def minhashes(shingles: np.ndarray, factors: np.ndarray, shifts: np.ndarray) ->
 
 
 def half_keys(values: np.ndarray, width: int, salt: int) -> np.ndarray:
-    """Runs of `width` minhash values hashed together with their place."""
-    parts = values.reshape(-1, width)
-    key = np.arange(len(parts), dtype=np.uint64) + np.uint64(salt)
+    """Runs of `width` minhash values hashed together with their place, for one set or,
+    in rows, for many."""
+    parts = values.reshape(*values.shape[:-1], values.shape[-1] // width, width)
+    key = np.arange(parts.shape[-2], dtype=np.uint64) + np.uint64(salt)
     for i in range(width):
-        key = words.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[:, i])
+        key = words.mix(key * np.uint64(0x9E3779B97F4A7C15) + parts[..., i])
     return key.astype(np.int64)
 
 
@@ -79,7 +80,7 @@ def sketch(docs: DataFrame) -> DataFrame:
         for batch in batches:
             for part in words.slices(batch):
                 own, begins = words.hashes(part.column("text"))
-                n, s1, s2, a, b = [], [], [], [], []
+                n, s1, s2, values = [], [], [], []
                 for i in range(part.num_rows):
                     held = words.shingle_set(own[begins[i]:begins[i + 1]], SHINGLE)
                     n.append(len(held))
@@ -87,17 +88,15 @@ def sketch(docs: DataFrame) -> DataFrame:
                     s1.append(int(held.sum(dtype=np.uint64).astype(np.int64)))
                     s2.append(int(words.mix(held ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64).astype(np.int64)))
                     if len(held):
-                        values = minhashes(held, factors, shifts)
-                        a.append(half_keys(values[:cut], A_WIDTH, 1))
-                        b.append(half_keys(values[cut:], B_WIDTH, 1001))
-                    else:
-                        a.append([])
-                        b.append([])
-                longs = pa.list_(pa.int64())
+                        values.append(minhashes(held, factors, shifts))
+                rows = np.array(values, dtype=np.uint64).reshape(len(values), len(factors))
+                # Empty sets have no keys.
+                starts = np.concatenate([[0], np.cumsum(np.array(n) > 0)])
+                a, b = (pa.ListArray.from_arrays(pa.array(starts * keys.shape[1], pa.int32()), pa.array(keys.ravel()))
+                        for keys in (half_keys(rows[:, :cut], A_WIDTH, 1), half_keys(rows[:, cut:], B_WIDTH, 1001)))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(s1, pa.int64()),
-                     pa.array(s2, pa.int64()), pa.array(a, longs), pa.array(b, longs)],
-                    ["doc_id", "n_shingles", "s1", "s2", "a", "b"])
+                     pa.array(s2, pa.int64()), a, b], ["doc_id", "n_shingles", "s1", "s2", "a", "b"])
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run, "doc_id long, n_shingles long, s1 long, s2 long, a array<long>, b array<long>")
