@@ -61,27 +61,31 @@ def cut(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, keep_ids: boo
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_tokens.load(tokenizer)
         end = np.array([END_ID], dtype="<u4")
-        for batch in batches:
-            for part in words.slices(batch, size=TEXTS_AT_ONCE):
-                ids, begins = known.encode(part.column("text"))
-                ids = ids.astype("<u4")
-                rows: list[tuple] = []
-                kept: list[np.ndarray] = []
-                for i, doc in enumerate(part.column("doc_id").to_pylist()):
-                    own = np.concatenate([ids[begins[i]:begins[i + 1]], end])
-                    start = 0
-                    for n in lengths(len(own), capacity):
-                        piece = own[start:start + n]
-                        rows.append((doc, start, n, zlib.crc32(piece.tobytes()), len(own), capacity // n))
-                        if keep_ids:
-                            kept.append(piece.astype(np.int32))
-                        start += n
-                columns = [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 5, pa.int32()])]
-                names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "kind"]
-                if keep_ids:
-                    columns.append(pa.array(kept, pa.list_(pa.int32())))
-                    names.append("ids")
-                yield pa.RecordBatch.from_arrays(columns, names)
+        try:
+            for batch in batches:
+                for part in words.slices(batch, size=TEXTS_AT_ONCE):
+                    ids, begins = known.encode(part.column("text"))
+                    ids = ids.astype("<u4")
+                    rows: list[tuple] = []
+                    kept: list[np.ndarray] = []
+                    for i, doc in enumerate(part.column("doc_id").to_pylist()):
+                        own = np.concatenate([ids[begins[i]:begins[i + 1]], end])
+                        start = 0
+                        for n in lengths(len(own), capacity):
+                            piece = own[start:start + n]
+                            rows.append((doc, start, n, zlib.crc32(piece.tobytes()), len(own), capacity // n))
+                            if keep_ids:
+                                kept.append(piece.astype(np.int32))
+                            start += n
+                    columns = [pa.array(c, t) for c, t in zip(zip(*rows), [*[pa.int64()] * 5, pa.int32()])]
+                    names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "kind"]
+                    if keep_ids:
+                        columns.append(pa.array(kept, pa.list_(pa.int32())))
+                        names.append("ids")
+                    yield pa.RecordBatch.from_arrays(columns, names)
+        finally:
+            # Most words of another task are other ones; an idle worker need not hold these.
+            known.forget()
 
     schema = PIECES + (", ids array<int>" if keep_ids else "")
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, schema)

@@ -37,9 +37,9 @@ class WordTokenizer:
         vocabulary = self.tokenizer.get_vocab()
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for piece, i in vocabulary.items() if piece.endswith("</w>")]] = True
-        self._forget()
+        self.forget()
 
-    def _forget(self) -> None:
+    def forget(self) -> None:
         """No word is known. Ids of known words stand in `flat` in a row."""
         self.number: dict[str, int] = {}
         self.flat = np.zeros(0, np.uint32)
@@ -105,7 +105,7 @@ class WordTokenizer:
         """All ids of a batch of texts in a row, and where each text begins (one more
         entry than texts). Null texts have no ids."""
         if len(self.number) > KNOWN_WORDS:
-            self._forget()
+            self.forget()
         texts = pc.replace_substring(pc.fill_null(texts.cast(pa.large_string()), ""), "\n", " ")
         # Lower case only now: Arrow's kernel goes wrong on a slice.
         texts = pc.replace_substring_regex(pc.ascii_lower(texts), TAIL, r"\1 \2\3")

@@ -29,6 +29,8 @@ def slices(batch: pa.RecordBatch, column: str = "text", size: int = TEXT_BYTES_A
             begin, held = i + 1, 0
     if begin < batch.num_rows:
         yield batch.slice(begin)
+    # Arrow's pool keeps what it once had, and a worker lives on for the tasks of others.
+    pa.default_memory_pool().release_unused()
 
 
 def split(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:

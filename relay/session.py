@@ -10,18 +10,31 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # The one setting the results depend on: a JSON object with a repeated key keeps
-# the last value. Adaptive execution (on by default) is recommended, and for very
-# large request bodies a lower spark.sql.execution.arrow.maxBytesPerBatch; both are
-# left to the owner of the session.
+# the last value. Adaptive execution (on by default) is recommended; it is left to the
+# owner of the session.
 RUNTIME_SETTINGS = {"spark.sql.variant.allowDuplicateKeys": "true"}
 
+# Python workers go through a few MB of text at a time, so larger Arrow batches only take
+# memory of every task, in the executor and in its worker. A lower setting stays.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
 _shipped: dict[str, str] = {}
 _local_folders: dict[str, str] = {}
 
 
+def size_of(setting: str) -> int:
+    """Bytes of a size as Spark writes it: 4194304b, 512k, 4m, 4mb."""
+    number = setting.strip().lower().removesuffix("b")
+    return int(number[:-1]) << {"k": 10, "m": 20, "g": 30}[number[-1]] if number[-1] in "kmg" else int(number)
+
+
 def ship(spark: SparkSession) -> SparkSession:
-    """Send this package to the Python workers of a session, once per application."""
+    """Send this package to the Python workers of a session, once per application, and
+    bound the batches they are sent."""
     context = spark.sparkContext
+    if not 0 < size_of(spark.conf.get(BATCH_SETTING)) <= BATCH_BYTES:
+        spark.conf.set(BATCH_SETTING, BATCH_BYTES)
     if _shipped.get("app") != context.applicationId:
         package = pathlib.Path(__file__).resolve().parent
         target = tempfile.mkdtemp(prefix="relay-package-")
