@@ -45,6 +45,9 @@ RANKS = 1 << 16
 # Bits of a shingle's hash in a token, below its rank. Equal tokens of unlike shingles only
 # give more candidates: classes and verification have all 64 bits.
 HASH_BITS = 47
+# Words of the bit map of shared tokens: about two tokens a KB of text, so the one for sets
+# of documents is full where this one still rules out most rows.
+TOKEN_SIEVE = 1 << 20
 # More turns save pairs of the last step and do not change the result.
 TURNS = 6
 YIELD = 0.05
@@ -83,14 +86,19 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def ranks(lines: DataFrame) -> Column:
-    """The ranks of all counters as a constant array: 0 for the rarest. The aggregate, and
-    so the array, has RANKS entries at any size."""
+    """The ranks of all counters as a constant array: 0 for the rarest, shifted to where a
+    token has them. The aggregate, and so the array, has RANKS entries at any size."""
     counter = F.col("s").bitwiseAND(RANKS - 1)
     counted = (lines.select(F.explode(shingles_of(F.col("line"))).alias("s"))
                .groupBy(counter.cast("int").alias("at")).count())
     # Counters that nothing is hashed to are looked up by nothing.
     order = F.row_number().over(Window.orderBy("count", "at")) - 1
-    return constant_array(counted.select("at", order.alias("value")), RANKS, "line-ranks")
+    return constant_array(counted.select("at", F.shiftleft(order.cast("long"), HASH_BITS).alias("value")),
+                          RANKS, "line-ranks")
+
+
+def prefix_size(n: Column) -> Column:
+    return (n - F.ceil(n * PERCENT / 100) + 1).cast("int")
 
 
 def keyed(lines: DataFrame, table: Column) -> DataFrame:
@@ -100,9 +108,9 @@ def keyed(lines: DataFrame, table: Column) -> DataFrame:
 
     def key(s: Column, rank: Column) -> Column:
         n = F.size(s)
-        every = F.sort_array(F.transform(s, lambda x: F.shiftleft(
-            F.get(rank, x.bitwiseAND(RANKS - 1).cast("int")).cast("long"), HASH_BITS).bitwiseOR(x.bitwiseAND(low))))
-        prefix = F.slice(every, F.lit(1), (n - F.ceil(n * PERCENT / 100) + 1).cast("int"))
+        every = F.sort_array(F.transform(s, lambda x: F.get(rank, x.bitwiseAND(RANKS - 1).cast("int")).bitwiseOR(
+            x.bitwiseAND(low))))
+        prefix = F.slice(every, F.lit(1), prefix_size(n))
         return F.struct(F.xxhash64(s).alias("h1"), F.hash(s).alias("h2"), n.alias("n"), prefix.alias("prefix"))
 
     # A subquery must not stand inside a lambda when a plan is analysed; the optimizer puts
@@ -112,16 +120,27 @@ def keyed(lines: DataFrame, table: Column) -> DataFrame:
             .select("doc_id", "no", once(both, lambda x: key(x["s"], x["rank"])).alias("k")))
 
 
+def classes_of(keys: DataFrame) -> DataFrame:
+    """Lines of the same shingles in the same order, with the place (doc, no) of the first
+    one and the number of lines."""
+    kinds = keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"),
+                                              F.count("*").alias("lines"), F.first("prefix").alias("prefix"))
+    return kinds.select("h1", "h2", "n", "lines", F.col("first.doc_id").alias("doc"), F.col("first.no").alias("no"),
+                        "prefix")
+
+
 def token_rows(keys: DataFrame) -> DataFrame:
+    return shared_rows(stage(classes_of(keys), "line-classes"))
+
+
+def shared_rows(classes: DataFrame) -> DataFrame:
     """(doc, no, n, i, token, bin) for each prefix token of a class that another class has,
     too; doc and no are the place of the class, i that of the token, bin a size class."""
-    kinds = keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"),
-                                              F.first("prefix").alias("prefix"))
-    rows = stage(kinds.select(F.col("first.doc_id").alias("doc"), F.col("first.no").alias("no"), "n", "prefix"),
-                 "line-classes").select("doc", "no", "n", F.posexplode("prefix").alias("i", "token"))
+    rows = classes.select("doc", "no", "n", F.posexplode("prefix").alias("i", "token"))
     shared = stage(rows.groupBy("token").agg(F.count("*").alias("c")).filter("c > 1").select("token"), "line-shared")
     size = F.floor(F.log("n") / F.log(F.lit(100 / PERCENT))).cast("int")
-    return rows.filter(sieve(shared, "token")).join(shared, "token", "left_semi").withColumn("bin", size)
+    return (rows.filter(sieve(shared, "token", TOKEN_SIEVE)).join(shared, "token", "left_semi")
+            .withColumn("bin", size))
 
 
 def passing() -> Column:
@@ -161,6 +180,25 @@ def with_all(rows: DataFrame, open_rows: DataFrame) -> DataFrame:
     return met(rows.alias("a").join(open_rows.alias("b"), (F.col("a.token") == F.col("b.token")) & passing()))
 
 
+def possible(rows: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those pairs that all their shared tokens leave possible.
+
+    The tokens of the prefix that ends first are all either in the other prefix or not in
+    the other set at all, so those must not be more than a similar set can lack.
+    """
+    held = rows.groupBy("doc", "no", "n").agg(F.collect_list("token").alias("t"))
+    first = held.select(F.col("doc").alias("doc_a"), F.col("no").alias("no_a"), F.col("n").alias("na"), F.col("t").alias("ta"))
+    second = held.select(F.col("doc").alias("doc_b"), F.col("no").alias("no_b"), F.col("n").alias("nb"), F.col("t").alias("tb"))
+    needed = F.ceil((F.col("na") + F.col("nb")) * PERCENT / (100 + PERCENT))
+
+    def lacks(n: str) -> Column:
+        return prefix_size(F.col(n)) - F.col("common") <= F.col(n) - needed
+
+    return (pairs.join(first, ["doc_a", "no_a"]).join(second, ["doc_b", "no_b"])
+            .withColumn("common", F.size(F.array_intersect("ta", "tb")))
+            .filter(lacks("na") | lacks("nb")).select(pairs.columns))
+
+
 def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     """Places (doc_id, no) of those b whose whole set is similar enough to that of a."""
     places = (pairs.select(F.col("doc_a").alias("doc_id"), F.col("no_a").alias("no"))
@@ -170,8 +208,8 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     cut = (texts.join(needed, "doc_id").select("doc_id", F.explode("nos").alias("no"), F.split("text", "\n").alias("all"))
            .select("doc_id", "no", F.get("all", F.col("no")).alias("line")))
     # Rows that repeat a doc_id with other texts may lack the line.
-    sets = cut.filter("line IS NOT NULL").select(
-        "doc_id", "no", F.array_distinct(shingles_of(F.col("line"))).alias("s"))
+    sets = stage(cut.filter("line IS NOT NULL").select(
+        "doc_id", "no", F.array_distinct(shingles_of(F.col("line"))).alias("s")), "line-sets")
     first = sets.select(F.col("doc_id").alias("doc_a"), F.col("no").alias("no_a"), F.col("s").alias("sa"))
     second = sets.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"), F.col("s").alias("sb"))
     common = F.size(F.array_intersect("sa", "sb"))
@@ -186,13 +224,13 @@ def matched(docs: DataFrame, rows: DataFrame) -> DataFrame:
     found, open_rows = None, rows
     for turn in range(TURNS):
         pairs = stage(with_centres(rows, open_rows, turn), "line-centres")
-        hits = stage(verified(docs, pairs), "line-found")
+        hits = stage(verified(docs, stage(possible(rows, pairs), "line-possible")), "line-found")
         found = hits if found is None else found.unionByName(hits)
         gone = found.select(F.col("doc_id").alias("doc"), "no")
         open_rows = rows.join(gone, ["doc", "no"], "left_anti")
         if hits.count() <= YIELD * pairs.count():
             break
-    pairs = stage(with_all(rows, open_rows), "line-pairs")
+    pairs = stage(possible(rows, with_all(rows, open_rows)), "line-pairs")
     first = stage(best(pairs), "line-best")
     hits = stage(verified(docs, first), "line-found")
     done = hits.select(F.col("doc_id").alias("doc_b"), F.col("no").alias("no_b"))
@@ -204,10 +242,17 @@ def removals(docs: DataFrame) -> DataFrame:
     """Places (doc_id, no) of all lines that go."""
     lines = lines_of(docs)
     keys = stage(keyed(lines, ranks(lines)), "line-keys").select("doc_id", "no", "k.*").filter("n > 0")
-    rows = stage(token_rows(keys), "line-tokens")
-    stay = (keys.groupBy("h1", "h2", "n").agg(F.min(F.struct("doc_id", "no")).alias("first"))
-            .select("first.doc_id", "first.no").join(matched(docs, rows), ["doc_id", "no"], "left_anti"))
-    return keys.select("doc_id", "no").join(stay, ["doc_id", "no"], "left_anti").distinct()
+    classes = stage(classes_of(keys), "line-classes")
+    gone = stage(matched(docs, stage(shared_rows(classes), "line-tokens")).select(
+        F.col("doc_id").alias("doc"), "no", F.lit(True).alias("gone")).distinct(), "line-matched")
+    judged = classes.drop("prefix").join(gone, ["doc", "no"], "left").withColumn("gone", F.col("gone").isNotNull())
+    # A class of one line that nothing matches loses nothing.
+    loses = judged.filter("gone OR lines > 1").withColumnRenamed("no", "first_no")
+    lost = (keys.drop("prefix").join(loses, ["h1", "h2", "n"])
+            .filter("gone OR doc_id <> doc OR no <> first_no").select("doc_id", "no").distinct())
+    # Rows that repeat a doc_id with other texts may have the first line of another class there.
+    stay = judged.filter("NOT gone").select(F.col("doc").alias("doc_id"), "no")
+    return lost.join(stay, ["doc_id", "no"], "left_anti")
 
 
 def deduplicate(docs: DataFrame) -> DataFrame:

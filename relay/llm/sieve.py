@@ -22,18 +22,18 @@ def constant_array(values: DataFrame, size: int, label: str) -> Column:
     return stage(row, label).scalar()
 
 
-def sieve(ids: DataFrame, of: str = "doc_id") -> Column:
+def sieve(ids: DataFrame, of: str = "doc_id", words: int = SIEVE_WORDS) -> Column:
     """A condition on the column `of` that every id of a table meets and most others do not.
 
-    A bit map of fixed size, filled by an aggregate with at most SIEVE_WORDS rows. When
+    A bit map of fixed size, filled by an aggregate with at most `words` rows. When
     it is full it lets everything pass. Null ids do not meet it.
     """
     h = F.xxhash64(of)
-    at = F.pmod(F.shiftright(h, 6), F.lit(SIEVE_WORDS)).cast("int")
+    at = F.pmod(F.shiftright(h, 6), F.lit(words)).cast("int")
     bit = F.pmod(h, F.lit(64)).cast("int")
     filled = (ids.select(at.alias("at"), F.call_function("shiftleft", F.lit(1).cast("long"), bit).alias("bit"))
               .groupBy("at").agg(F.bit_or("bit").alias("value")))
-    held = constant_array(filled, SIEVE_WORDS, "sieve")
+    held = constant_array(filled, words, "sieve")
     return F.col(of).isNotNull() & (F.getbit(F.get(held, at), bit) == 1)
 
 
