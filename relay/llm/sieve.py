@@ -17,7 +17,7 @@ def constant_array(values: DataFrame, size: int, label: str) -> Column:
     and do not hold its entries. It must not stand inside a lambda function."""
     places = values.sparkSession.range(size, numPartitions=1).select(F.col("id").cast("int").alias("place"))
     each = F.struct("place", F.coalesce("value", F.lit(0)).alias("value"))
-    row = (places.join(values, F.col("place") == F.col("at"), "left").agg(F.sort_array(F.collect_list(each)).alias("all"))
+    row = (places.join(values, F.col("place") == F.col("at"), "left").coalesce(8).agg(F.sort_array(F.collect_list(each)).alias("all"))
            .select(F.transform("all", lambda x: x["value"]).alias("all")))
     return stage(row, label).scalar()
 
