@@ -126,14 +126,20 @@ def keyed_upsert_without_keys(spark, sf):
                                {"customer": "bigint", "order": "bigint"})
 
 
-def _micro_batches(messages, count=4):
-    """Messages in order of offsets, in parts, with their numbers. Each part is parsed for
-    itself, and the last offset is found without parsing."""
-    last = messages.agg(F.max("offset")).first()[0] or 0
+def _cut(rows, count=4):
+    """Rows in order of offsets, in parts, with their numbers."""
+    last = rows.agg(F.max("offset")).first()[0] or 0
     for number in range(count):
         low, high = last * number // count, last * (number + 1) // count
-        yield number, topics.objects(messages.filter(
-            (F.col("offset") > low) & (F.col("offset") <= high) if number else F.col("offset") <= high))
+        yield number, rows.filter((F.col("offset") > low) & (F.col("offset") <= high) if number
+                                  else F.col("offset") <= high)
+
+
+def _micro_batches(messages, count=4):
+    """Messages cut into parts that are each parsed for themselves: the last offset is found
+    without parsing."""
+    for number, part in _cut(messages, count):
+        yield number, topics.objects(part)
 
 
 def _stored_table(spark, name, keys, target):
@@ -316,7 +322,7 @@ def ledger_intervals(spark, sf):
 SELECT topic, "partition", next_offset FROM next"""))
 def commit_by_intervals(spark, sf):
     known = None
-    for number, part in _micro_batches(tracked(spark, sf)):
+    for number, part in _cut(tracked(spark, sf)):
         known = stage(ledger.intervals(part, known), f"intervals-{number}")
     return ledger.committed(known)
 
